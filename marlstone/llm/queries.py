@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import encoding
+from marlstone.llm import encoding, leaks, spam
 from marlstone.stages import table
 
 
@@ -12,5 +12,13 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf, "documents"))
 
 
-QUERIES = {"p7_ids": p7_ids}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.leaked_passages(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spam.spam_pages(table(spark, sf, "documents"))
+
+
+QUERIES = {"p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 ORACLE: dict[str, str] = {}
