@@ -3,11 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marlstone.llm import encoding, leaks, spam
+from marlstone.llm import encoding, languages, leaks, spam
 from marlstone.stages import table
 
 
+def _chains(spark: SparkSession, sf: str) -> DataFrame:
+    a = table(spark, sf, "asset_c_reasoning").select(F.lit("asset_c_reasoning").alias("src"), "pos", F.col("reasoning_chain").alias("text"), "lang")
+    g = table(spark, sf, "gemini_pass2").select(F.lit("gemini_pass2").alias("src"), "pos", F.col("gemini_output.reasoning_chain").alias("text"), "lang")
+    return languages.language_segments(a.unionByName(g))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    cases = languages.mislabelled(_chains(spark, sf)).select("src", "pos", F.explode("segments").alias("s"))
+    return cases.select("src", "pos", "s.seg", "s.lang")
+
+
+def p2_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return _chains(spark, sf).select("src", "pos", F.explode("segments").alias("s")).select("src", "pos", "s.*")
+
+
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf, "documents"))
 
@@ -20,5 +36,5 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return spam.spam_pages(table(spark, sf, "documents"))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p2_segments": p2_segments, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 ORACLE: dict[str, str] = {}
