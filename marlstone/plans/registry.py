@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from marlstone.plans import records
+
+_MODULES = (records,)
+QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
+ORACLE = {k: f for m in _MODULES for k, f in m.ORACLE.items()}
