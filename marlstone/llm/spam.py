@@ -1,9 +1,10 @@
 """Keyword-stuffed and link-list pages, by block-wise compression against what is usual for the length and language.
 
-A text's ratio is the mean compressed size of its blocks over their size. It is divided by the corpus median of
-texts of about the same length and language; masses of keywords, links or tags lie far below 1. The suspicion is
-confirmed by sentence punctuation: the share of the text that stands in units closed by a full stop, question or
-exclamation mark, which consist of enough different words.
+A text's ratio is the mean compressed size of its blocks over their size. It is divided by the median of the corpus's
+different texts in sentences of about the same length and language, so neither copies nor spam move what is usual;
+masses of keywords, links or tags lie far below 1. The suspicion is confirmed by sentence punctuation: the share of
+the text that stands in units closed by a full stop, question or exclamation mark, which consist of enough different
+words.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import types as T
 
 from marlstone.stages import stage
 
-#: Bytes of a block, bytes of the shortest text that is judged, texts that a group's median needs.
+#: Bytes of a block, bytes of the shortest text that is judged, different texts that a group's median needs.
 BLOCK, LEAST_BYTES, LEAST_GROUP = 2048, 200, 30
+#: Usual ratio where the corpus holds no text in sentences at all.
+USUAL = 0.5
 #: A text is spam if its relative ratio and its share of sentences sum to less, and the share alone is less than MOST_SENTENCES.
 SPAM_SCORE, MOST_SENTENCES = 1.08, 0.5
 #: Share of repeated words from which a unit is no sentence; least words, or CJK letters, of a sentence.
@@ -68,7 +71,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((block_ratio(data), sentence_share(text), len(data), "zh" if cjk else code[0] if code else "", int(2 * math.log2(len(data)))))
         cols = list(zip(*rows, strict=True)) or [()] * 5
         kinds = [pa.float64(), pa.float64(), pa.int64(), pa.string(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["_k", "ratio", "sentences", "n_bytes", "tongue", "bin"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["_k", "hash", "ratio", "sentences", "n_bytes", "tongue", "bin"])
 
 
 def spam_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang") -> DataFrame:
@@ -76,18 +79,22 @@ def spam_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
 
     Null and blank texts have null figures and are no spam, nor are texts under LEAST_BYTES. ``lang`` only chooses
     the group of comparison; a wrong or null one is harmless, None means one group. Groups of under LEAST_GROUP
-    texts are compared with all texts of their length. Rows with equal or null keys stay apart.
+    different texts in sentences are compared with all such texts of their length, or of the nearest length that has
+    any. Rows with equal or null keys stay apart.
     """
     tongue = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"), tongue.alias("_l"))
-    schema = T.StructType([rows.schema["_k"], *T.StructType.fromDDL("ratio double, sentences double, n_bytes long, tongue string, bin int").fields])
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"), tongue.alias("_l")).withColumn("_h", F.xxhash64("_t"))
+    schema = T.StructType([rows.schema["_k"], *T.StructType.fromDDL("hash long, ratio double, sentences double, n_bytes long, tongue string, bin int").fields])
     got = stage(rows.mapInArrow(_features, schema))
-    sound = got.filter(F.col("ratio").isNotNull())
+    # a copy counts once, and a text that may be spam not at all, however many rows they hold
+    plain = got.filter(F.col("sentences") >= MOST_SENTENCES).select("tongue", "bin", "hash", "ratio")
     # at most 676 two-letter codes and 128 bins, so both medians are broadcast
-    usual = sound.groupBy("tongue", "bin").agg(F.percentile_approx("ratio", 0.5).alias("usual"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_GROUP).drop("n")
-    pooled = sound.groupBy("bin").agg(F.percentile_approx("ratio", 0.5).alias("pooled"))
+    usual = plain.distinct().groupBy("tongue", "bin").agg(F.percentile_approx("ratio", 0.5).alias("usual"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_GROUP).drop("n")
+    by_length = plain.drop("tongue").distinct().groupBy(F.col("bin").alias("other")).agg(F.percentile_approx("ratio", 0.5).alias("m"))
+    bins = got.filter(F.col("ratio").isNotNull()).select("bin").distinct()
+    pooled = bins.crossJoin(F.broadcast(by_length)).groupBy("bin").agg(F.min_by("m", F.struct(F.abs(F.col("bin") - F.col("other")), "other")).alias("pooled"))
     all_ = got.join(F.broadcast(usual), ["tongue", "bin"], "left").join(F.broadcast(pooled), "bin", "left")
-    relative = F.col("ratio") / F.greatest(F.coalesce("usual", "pooled"), F.lit(1e-6))
+    relative = F.col("ratio") / F.greatest(F.coalesce("usual", "pooled", F.lit(USUAL)), F.lit(1e-6))
     all_ = all_.select(F.col("_k").alias(key), "n_bytes", "ratio", relative.alias("relative"), "sentences", (relative + F.col("sentences")).alias("score"))
     spam = (F.col("n_bytes") >= LEAST_BYTES) & (F.col("score") < SPAM_SCORE) & (F.col("sentences") < MOST_SENTENCES)
     return all_.withColumn("is_spam", F.coalesce(spam, F.lit(False)))

@@ -1,0 +1,39 @@
+import random
+
+from marlstone.llm import spam
+
+WORDS = "porch camera driver parcel door clip label review light guest garden street visitor leaves morning keeps second window record between".split()
+
+
+def _plain(i):
+    r = random.Random(i)
+    return " ".join(f"{r.choice(WORDS)} {r.randrange(10**6)} {r.choice(WORDS)} {' '.join(r.sample(WORDS, 6))}.".capitalize() for _ in range(16))
+
+
+def _tags(i):
+    r = random.Random(10_000 + i)
+    return "\n".join(f"{r.choice(WORDS)} cam {r.choice(WORDS)} {r.randrange(100)} EUR SKU-{r.randrange(10**4)}" for _ in range(36))
+
+
+def _found(spark, rows):
+    return {r.doc_id for r in spam.spam_pages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+
+
+def test_copies_of_one_spam_text_do_not_become_usual(spark):
+    plain = [(i, _plain(i), "en") for i in range(40)]
+    tags = [(100 + i, _tags(i), "en") for i in range(10)]
+    copies = [(1000 + i, "buy cheap cam " * 80, "en") for i in range(100)]
+    expected = {k for k, _, _ in tags + copies}
+    assert _found(spark, plain + tags) == {k for k, _, _ in tags}
+    assert _found(spark, plain + tags + copies) == expected
+
+
+def test_many_different_spam_texts_do_not_become_usual(spark):
+    plain = [(i, _plain(i), "en") for i in range(40)]
+    tags = [(100 + i, _tags(i), "en") for i in range(30)]
+    masses = [(1000 + i, f"buy cheap cam{i} " * 75, "en") for i in range(100)]
+    assert _found(spark, plain + tags + masses) == {k for k, _, _ in tags + masses}
+
+
+def test_corpus_without_sentences(spark):
+    assert _found(spark, [(i, "buy cheap cam " * 80, "en") for i in range(5)]) == set(range(5))
