@@ -37,3 +37,22 @@ def test_many_different_spam_texts_do_not_become_usual(spark):
 
 def test_corpus_without_sentences(spark):
     assert _found(spark, [(i, "buy cheap cam " * 80, "en") for i in range(5)]) == set(range(5))
+
+
+def _speech(i):
+    r = random.Random(20_000 + i)
+    return [" ".join("".join(r.choices("abcdefghijklmnoprstuvw", k=r.randrange(3, 9))) for _ in range(9)) for _ in range(16)]
+
+
+def test_unpunctuated_text_of_usual_redundancy_is_no_spam(spark):
+    plain = [(i, " ".join(f"{x.capitalize()}." for x in _speech(i)), "en") for i in range(40)]
+    transcripts = [(100 + i, " ".join(_speech(50 + i)), "en") for i in range(5)]
+    lists = [(110 + i, "\n".join(_speech(60 + i)), "en") for i in range(5)]
+    tags = [(200 + i, _tags(i), "en") for i in range(5)]
+    assert _found(spark, plain + transcripts + lists + tags) == {k for k, _, _ in tags}
+
+
+def test_figures_of_a_table_stay():
+    table = "\n".join(",".join(str(7919 * (8 * i + j) % 100_003) for j in range(8)) for i in range(20))
+    assert spam.words_of(table) == table.encode()
+    assert spam.words_of("chime kit 44.40 EUR SKU-8132") == b"chime kit 0.0 EUR SKU-0"
