@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from marlstone.plans import records
+from marlstone.plans import evaluation, records
 
-_MODULES = (records,)
+_MODULES = (evaluation, records)
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: f for m in _MODULES for k, f in m.ORACLE.items()}
