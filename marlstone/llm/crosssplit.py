@@ -4,7 +4,7 @@ Each record gives up to three normalised passages: its video id, the recording t
 description. Passages are sharded by what a pair must have in common (video id; recording; camera and time slot).
 A shard builds one Aho-Corasick automaton over its evaluation passages (a description as MOST_EDITS + 1 pieces, of
 which an edited copy keeps at least one) and scans its training texts. Matched intervals are merged into
-the coverage of each evaluation passage, and near copies are confirmed by an exact word edit distance.
+the coverage of each evaluation record over all its training records, and near copies are confirmed by an exact word edit distance.
 """
 
 from __future__ import annotations
@@ -59,11 +59,11 @@ def _pieces(words: str) -> list[tuple[int, str]]:
 
 
 def scan_shard(rows: pd.DataFrame) -> pd.DataFrame:
-    """kind, train, eval, coverage, split and camera of the overlaps in one shard (columns kind, at, text, pos, us, split, cam, is_train)."""
+    """kind, train, eval, coverage, spans, size, split and camera of the overlaps in one shard (columns kind, at, text, pos, us, split, cam, is_train)."""
     import ahocorasick
 
     trains, evals = rows[rows["is_train"]], rows[~rows["is_train"]]
-    found: list[tuple[str, int, int, float]] = []
+    found: list[tuple[str, int, int, float, list[dict], int]] = []
     origin = {pos: (split, cam) for pos, split, cam in zip(evals["pos"], evals["split"], evals["cam"], strict=True)}
     automaton = ahocorasick.Automaton()
     patterns: dict[str, dict] = {}
@@ -79,7 +79,7 @@ def scan_shard(rows: pd.DataFrame) -> pd.DataFrame:
     if patterns:
         automaton.make_automaton()
     for kind, at, text, pos, us in zip(trains["kind"], trains["at"], trains["text"], trains["pos"], trains["us"], strict=True):
-        hits: dict[int, tuple[str, int, list]] = {other: (own, time, []) for own, other, time in short.get((kind, at), ())}
+        hits: dict[int, tuple[str, int, list]] = {other: (own, time, [(b, b + len(part)) for b, part in _pieces(own) if part in f" {text} "]) for own, other, time in short.get((kind, at), ())}
         for _, where in automaton.iter(f" {text} ") if patterns else ():
             for begin, size, own, other, time in where.get((kind, at), ()):
                 hits.setdefault(other, (own, time, []))[2].append((begin, begin + size))
@@ -92,18 +92,22 @@ def scan_shard(rows: pd.DataFrame) -> pd.DataFrame:
                     continue
             elif own != text:
                 continue
-            covered, last = 0, 0
-            for s, e in sorted(spans):
-                covered += max(0, e - max(s, last))
-                last = max(last, e)
-            found.append((kind, pos, other, min(1.0, covered / (len(own) + 2))))
-    cols = list(zip(*found, strict=True)) if found else [[], [], [], []]
-    return pd.DataFrame({"kind": pd.Series(cols[0], dtype=object), "train": pd.Series(cols[1], dtype="int64"), "eval": pd.Series(cols[2], dtype="int64"), "coverage": pd.Series(cols[3], dtype="float64"), "split": pd.Series([origin[x][0] for x in cols[2]], dtype=object), "camera": pd.Series([origin[x][1] for x in cols[2]], dtype=object)})
+            merged: list[dict] = []
+            for begin, end in sorted(spans):
+                if merged and begin <= merged[-1]["e"]:
+                    merged[-1]["e"] = max(end, merged[-1]["e"])
+                else:
+                    merged.append({"s": begin, "e": end})
+            size = len(own) + 2
+            found.append((kind, pos, other, min(1.0, sum(x["e"] - x["s"] for x in merged) / size), merged, size))
+    cols = list(zip(*found, strict=True)) if found else [[], [], [], [], [], []]
+    return pd.DataFrame({"kind": pd.Series(cols[0], dtype=object), "train": pd.Series(cols[1], dtype="int64"), "eval": pd.Series(cols[2], dtype="int64"), "coverage": pd.Series(cols[3], dtype="float64"), "spans": pd.Series(cols[4], dtype=object), "size": pd.Series(cols[5], dtype="int32"), "split": pd.Series([origin[x][0] for x in cols[2]], dtype=object), "camera": pd.Series([origin[x][1] for x in cols[2]], dtype=object)})
 
 
 def cross_split_overlaps(records: DataFrame, key: str, split: Column, camera: Column, video: str, recorded: str, description: Column) -> DataFrame:
-    """kind (video, recording or near), train, eval (keys), coverage, split and camera of the evaluation record: each overlap of a training and an evaluation record.
+    """kind (video, recording or near), train, eval (keys), coverage, spans, size, split and camera of the evaluation record: each overlap of a training and an evaluation record.
 
+    spans are the matched intervals of the evaluation record's passage of that kind, size is its length, coverage their share of it.
     A pair may come with several kinds. Null video ids, recordings, cameras, times and descriptions match nothing;
     descriptions without a word match one another. ``key`` must be a unique integer. No pair is capped or dropped.
     """
@@ -139,13 +143,22 @@ def cross_split_overlaps(records: DataFrame, key: str, split: Column, camera: Co
     cell = F.when(F.col("is_train"), F.concat_ws(".", "_m", "_o")).otherwise(F.concat_ws(".", "_o", "_m"))
     placed = placed.select("pos", "us", "kind", "at", "text", "split", "cam", "is_train", cell.alias("cell"), F.pmod(F.xxhash64("k", cell), F.lit(shards)).alias("shard"))
     placed = placed.withColumn("at", F.concat_ws("#", "at", "cell")).drop("cell")
-    pairs = placed.groupBy("shard").applyInPandas(scan_shard, "kind string, train long, eval long, coverage double, split string, camera string")
-    return pairs.groupBy("kind", "train", "eval").agg(F.max("coverage").alias("coverage"), F.min("split").alias("split"), F.min("camera").alias("camera"))
+    pairs = placed.groupBy("shard").applyInPandas(scan_shard, "kind string, train long, eval long, coverage double, spans array<struct<s:int,e:int>>, size int, split string, camera string")
+    return pairs.groupBy("kind", "train", "eval").agg(F.max("coverage").alias("coverage"), F.max("spans").alias("spans"), F.max("size").alias("size"), F.min("split").alias("split"), F.min("camera").alias("camera"))
 
 
 def overlap_report(overlaps: DataFrame) -> DataFrame:
-    """split, camera, kind, evals, pairs, coverage: evaluation records of a split and camera that overlap with training."""
-    return overlaps.groupBy("split", "camera", "kind").agg(F.countDistinct("eval").alias("evals"), F.count("*").alias("pairs"), F.avg("coverage").alias("coverage"))
+    """split, camera, kind, evals, pairs, coverage: evaluation records of a split and camera that overlap with training.
+
+    coverage is the mean over evaluation records of the share that their spans, united over all training records, cover.
+    """
+    # of a passage, cut into at most MOST_EDITS + 1 pieces, only a few different lists of spans can come
+    each = overlaps.groupBy("split", "camera", "kind", "eval").agg(F.count("*").alias("pairs"), F.collect_set("spans").alias("spans"), F.max("size").alias("size"))
+    zero = F.struct(F.lit(0).alias("last"), F.lit(0).alias("n"))
+    step = lambda a, x: F.struct(F.greatest(a["last"], x["e"]).alias("last"), (a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], a["last"]))).alias("n"))
+    united = F.aggregate(F.array_sort(F.flatten("spans")), zero, step, lambda a: a["n"])
+    each = each.withColumn("coverage", F.least(F.lit(1.0), united / F.col("size")))
+    return each.groupBy("split", "camera", "kind").agg(F.count("*").alias("evals"), F.sum("pairs").alias("pairs"), F.avg("coverage").alias("coverage"))
 
 
 def overlap_pairs(overlaps: DataFrame) -> DataFrame:

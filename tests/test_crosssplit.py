@@ -1,0 +1,28 @@
+import datetime
+
+from pyspark.sql import functions as F
+
+from marlstone.llm import crosssplit
+
+AT = datetime.datetime(2024, 1, 1)
+
+
+def _report(spark, rows):
+    df = spark.createDataFrame([(i, s, f"v{i}", c, AT, d) for i, (s, c, d) in enumerate(rows)], "pos long, split string, video string, cam string, at timestamp_ntz, words string")
+    got = crosssplit.cross_split_overlaps(df, "pos", F.col("split"), F.col("cam"), "video", "at", F.col("words"))
+    return {r.camera: (r.evals, r.pairs, round(r.coverage, 4)) for r in crosssplit.overlap_report(got).collect()}
+
+
+def test_spans_are_united_over_training_rows_and_averaged_over_evaluation_rows(spark):
+    text = "aaa bbb ccc ddd eee fff"
+    rows = [("val", "T8AAAAAA", text), ("train", "T8AAAAAA", "aaa bbb ccc ddd xxx yyy"), ("train", "T8AAAAAA", "xxx yyy ccc ddd eee fff")]
+    # one record with three full copies, one whose only copy shares a third (9 of 25 letters and blanks)
+    rows += [("val", "T8BBBBBB", text)] + [("train", "T8BBBBBB", text)] * 3
+    rows += [("test", "T8CCCCCC", "ggg hhh iii jjj kkk lll"), ("train", "T8CCCCCC", "ggg xxx iii jjj kkk yyy")]
+    rows += [("val", "T8DDDDDD", text)] + [("train", "T8DDDDDD", text)] * 3 + [("val", "T8DDDDDD", "ggg hhh iii jjj kkk lll"), ("train", "T8DDDDDD", "ggg xxx iii jjj kkk yyy")]
+    assert _report(spark, rows) == {"T8AAAAAA": (1, 2, 1.0), "T8BBBBBB": (1, 3, 1.0), "T8CCCCCC": (1, 1, 0.36), "T8DDDDDD": (2, 4, 0.68)}
+
+
+def test_short_descriptions_are_covered(spark):
+    rows = [("val", "T8AAAAAA", "aaa bbb"), ("train", "T8AAAAAA", "aaa bbb"), ("val", "T8BBBBBB", "aaa"), ("train", "T8BBBBBB", "ccc")]
+    assert _report(spark, rows) == {"T8AAAAAA": (1, 1, 1.0), "T8BBBBBB": (1, 1, 0.0)}
