@@ -44,11 +44,18 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return rowparse.split_failures(_outputs(spark, sf))[1].select("pos", "reason", "field")
+    """The broken field of each row of p6_found; null for missing. A description is a single field."""
+    a = rowparse.split_failures(_outputs(spark, sf))[1].select(F.lit("eval_preds").alias("src"), "pos", "reason", "field")
+    field = F.when(F.col("reason") != "missing", "description").alias("field")
+    b = rowparse.split_failures(_descriptions(spark, sf))[1].select(F.lit("labels").alias("src"), "pos", "reason", field)
+    return a.unionByName(b)
 
 
 def p6_loaded(spark: SparkSession, sf: str) -> DataFrame:
-    return rowparse.split_failures(_outputs(spark, sf))[0].select("pos", "loaded.*")
+    """The valid rows beside those of p6_found, loaded; a description of labels has no rt and sk of its own."""
+    a = rowparse.split_failures(_outputs(spark, sf))[0].select(F.lit("eval_preds").alias("src"), "pos", "loaded.*")
+    b = rowparse.split_failures(_descriptions(spark, sf))[0].select(F.lit("labels").alias("src"), "pos", F.col("loaded").alias("description"))
+    return a.unionByName(b, allowMissingColumns=True)
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_containers, p3_leaves, p6_found, p6_fields, p6_loaded)}
