@@ -177,7 +177,7 @@ def _fill(ids: str, fill) -> F.Column:
 
 
 def decode_corpus(encoded: DataFrame, key: str = "doc_id", col: str = "ids", path: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
-    """``key``, text: the texts of token ids, by a join with the token-byte table (one row per id, bounded by the vocabulary).
+    """``key``, text: the texts of token ids, by a broadcast token-byte table looked up in place (no row per id is shuffled).
 
     Null lists give null, empty ones an empty text; an unknown id raises. Bytes that aren't valid UTF-8 become U+FFFD.
     """
@@ -186,18 +186,19 @@ def decode_corpus(encoded: DataFrame, key: str = "doc_id", col: str = "ids", pat
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     rest = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    vocab = sorted((i, bytes(byte_of[ch] for ch in w)) for w, i in tok.get_vocab(with_added_tokens=False).items())
-    bytes_ = docs_frame(encoded, vocab)
-    rows = encoded.select(F.monotonically_increasing_id().alias("_row"), F.col(key), F.col(col).alias("_ids"))
-    rows = stage(rows)
-    parts = rows.select("_row", F.posexplode("_ids").alias("p", "id")).join(F.broadcast(bytes_), "id", "left")
-    parts = parts.withColumn("b", F.when(F.col("b").isNull(), F.raise_error(F.lit("unknown token id")).cast("binary")).otherwise(F.col("b")))
-    text = parts.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("p", F.hex("b").alias("h")))).alias("s"))
-    text = text.select("_row", F.array_join("s.h", "").alias("hex"))
-    done = rows.join(text, "_row", "left")
-    valid = F.expr("make_valid_utf8(cast(unhex(coalesce(hex, '')) as string))")
-    return done.select(key, F.when(F.col("_ids").isNotNull(), valid).alias("text"))
-
-
-def docs_frame(like: DataFrame, vocab: list[tuple[int, bytes]]) -> DataFrame:
-    return like.sparkSession.createDataFrame(pa.table({"id": pa.array([i for i, _ in vocab], pa.int32()), "b": pa.array([b for _, b in vocab], pa.binary())}))
+    vocab = {i: bytes(byte_of[ch] for ch in w) for w, i in tok.get_vocab(with_added_tokens=False).items()}
+    shared = encoded.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = shared.value.get
+        for b in batches:
+            out = []
+            for ids in b.column(1):
+                parts = None if (ids := ids.as_py()) is None else [get(i) for i in ids]
+                if parts is not None and None in parts:
+                    raise ValueError("unknown token id")
+                out.append(None if parts is None else b"".join(parts).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], [key, "text"])
+
+    rows = encoded.select(key, F.col(col).alias("_ids"))
+    return rows.mapInArrow(run, T.StructType([rows.schema[key], T.StructField("text", T.StringType())]))

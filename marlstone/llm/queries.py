@@ -75,6 +75,14 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf, "documents"))
 
 
+def p7_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's text after encoding and decoding, and whether it equals the source (null counts as empty)."""
+    docs = table(spark, sf, "documents")
+    texts = encoding.decode_corpus(stage(encoding.encode_corpus(docs)))
+    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("source"))
+    return texts.join(source, "doc_id", "left").select("doc_id", "text", F.col("text").eqNullSafe(F.col("source")).alias("same"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaked_passages(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
@@ -83,5 +91,5 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return spam.spam_pages(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_segments, p4_found, p4_splits, p5_found, p5_report, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_segments, p4_found, p4_splits, p5_found, p5_report, p7_ids, p7_decoded, p8_found, p9_found)}
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,18 @@
+import pytest
+
+from marlstone.llm import encoding, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_document_comes_back(spark):
+    rows = queries.QUERIES["p7_decoded"](spark, SF).collect()
+    source = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(source) and {r.doc_id: r.text for r in rows} == source and all(r.same for r in rows)
+
+
+def test_null_empty_and_unknown_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in encoding.decode_corpus(df).collect()} == {1: None, 2: ""}
+    with pytest.raises(Exception, match="unknown token id"):
+        encoding.decode_corpus(spark.createDataFrame([(1, [10**8])], "doc_id long, ids array<int>")).collect()
