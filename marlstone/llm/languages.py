@@ -132,12 +132,15 @@ class Unigrams:
         return Unigrams(self.ids, self.longest, expected / expected.sum(axis=0))
 
 
-def fit(texts: list[str], codes: list[str], path: str = PIECES) -> Unigrams:
-    """Unigrams of texts with noisy language codes."""
+def fit(texts: list[str], codes: list[str], path: str = PIECES, weights: list[int] | None = None) -> Unigrams:
+    """Unigrams of texts with noisy language codes, each counted as often as ``weights`` says."""
     ids, longest = vocabulary(path)
     split = [[s for _, _, s in sentences(t)] for t in texts]
     given = [LANGS.index(c) for c in codes]
-    pool = Counter((s, g) for ss, g in zip(split, given, strict=True) for s in ss)
+    pool: Counter = Counter()
+    for ss, g, n in zip(split, given, weights or [1] * len(split), strict=True):
+        for s in ss:
+            pool[s, g] += n
     of: dict[tuple[str, ...], np.ndarray] = {}
     for (s, g), n in pool.items():
         of.setdefault(s, np.zeros(len(LANGS)))[g] += n
@@ -181,16 +184,18 @@ def language_segments(texts: DataFrame, text: str = "text", label: str = "lang",
     """``texts`` with ``named`` (the code that the label names) and ``segments``: array of seg, lang, confidence, start, end.
 
     seg counts from 1 in order of the text; start and end are character offsets from 0. Null and blank texts, and
-    texts without a letter, have no segments. Models are fitted on at most ``sample`` labelled rows, chosen by a hash
-    of their text; where no row is labelled, there are no segments. Columns of ``texts`` named alike are replaced.
+    texts without a letter, have no segments. Models are fitted on at most ``sample`` different texts with a label, chosen
+    by a hash of the text and counted as often as they stand; where no row is labelled, there are no segments. Columns of ``texts`` named alike are replaced.
     """
     lower = F.lower(F.trim(F.regexp_extract(F.trim(F.col(label)), r"^[^-_\s(,;]*", 0)))
     names = F.create_map(*[F.lit(x) for code, ns in NAMES.items() for n in ns.split() for x in (n, code)])
     named = F.when(lower.isin(*NO_LANGUAGE.split(), ""), None).when(F.col(label).isNotNull(), F.coalesce(names[lower], F.lit("other")))
     texts = texts.drop("named", "segments").withColumn("named", named)
     usable = texts.filter(F.col("named").isin(*LANGS) & (F.length(F.trim(text)) > 0)).select(F.col(text).cast("string").alias("t"), "named")
-    rows = usable.orderBy(F.xxhash64("t"), "named").limit(sample).collect()
-    model = fit([r.t for r in rows], [r.named for r in rows], path) if rows else None
+    # copies take one place of the sample, so no text can fill it
+    distinct = usable.groupBy("t", "named").agg(F.count("*").alias("n"))
+    rows = distinct.orderBy(F.xxhash64("t"), "t", "named").limit(sample).collect()
+    model = fit([r.t for r in rows], [r.named for r in rows], path, [r.n for r in rows]) if rows else None
     shared = texts.sparkSession.sparkContext.broadcast((model.ids, model.longest, model.table.astype(np.float64)) if model else None)
     kinds = pa.list_(pa.struct([("seg", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
     at = texts.columns.index(text)

@@ -1,0 +1,15 @@
+from pyspark.sql import functions as F
+
+from marlstone.llm import languages
+
+SAME = "The courier leaves a small box on the mat and walks back to the street."
+GERMAN = ["Der Fahrer stellt ein Paket vor die Haustür.", "Die Nachbarin wartet neben dem Briefkasten.", "Ein Kind fährt mit dem Roller über den Hof.", "Der Mann trägt eine Jacke und klingelt zweimal."]
+
+
+def test_copies_of_one_text_do_not_fill_the_sample(spark):
+    # the copied text ranks first or the German ones do; either way a sample of five holds all five texts
+    rows = [(i, SAME, "en") for i in range(40)] + [(100 + i, t, "de") for i, t in enumerate(GERMAN)]
+    df = spark.createDataFrame(rows, "pos long, text string, lang string")
+    first = df.orderBy(F.xxhash64("text")).limit(5).select("text").distinct().count()
+    got = {r.pos: [s.lang for s in r.segments] for r in languages.language_segments(df, sample=5).collect()}
+    assert first < 5 and got == {p: [g] for p, _, g in rows}
