@@ -1,7 +1,12 @@
-"""Materialised stages and skew-safe joins shared by the operators."""
+"""Materialised stages and skew-safe joins shared by the operators.
+
+Operators that cut lineage write stages, so building such an operator's result runs jobs; only the last part is lazy.
+"""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,14 +14,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+#: Paths of the stages of this process, by the identity of their frames and in order of writing.
+_PATHS: dict[int, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; where it is unset, a temporary one with a local master.
+
+    On a cluster without spark.checkpoint.dir this raises: executors couldn't read one another's stages.
+    """
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
-    return _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="marlstone-"))
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="marlstone-")
+        atexit.register(shutil.rmtree, _OWN[app][len("file://") :], ignore_errors=True)
+    return _OWN[app]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -24,31 +41,63 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._marlstone_stage = path
+    _PATHS[id(back)] = path
+    return back
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_stage(*stages: DataFrame) -> None:
+    """Delete stages that nothing unwritten reads any more; frames that aren't stages are left alone."""
+    for df in stages:
+        path = getattr(df, "_marlstone_stage", None)
+        if path:
+            _PATHS.pop(id(df), None)
+            _delete(df.sparkSession, path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete every stage of this process; call it once the results that read them are written."""
+    for path in list(_PATHS.values()):
+        _delete(spark, path)
+    _PATHS.clear()
+
+
+#: Bytes of keys and values up to which a dimension may be broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
-#: Rows up to which a two-or-three-column dimension may be broadcast (about 16 MB).
-BROADCAST_ROWS = 200_000
+def size_of(df: DataFrame, *more: Column) -> tuple:
+    """Rows and about the bytes of ``df``, then ``more`` aggregates of it, in one job."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), *more).first())
 
 
-def with_dim(rows: DataFrame, dim: DataFrame, key: str, counts: str, dim_rows: int, share: int = 64) -> DataFrame:
-    """Left-join the staged dimension ``dim`` (unique ``key``, column ``counts`` = rows of that key) without skew.
+def with_dim(rows: DataFrame, dim: DataFrame, key: str, counts: str, share: int = 64, most_bytes: int | None = None) -> DataFrame:
+    """Left-join the staged dimension ``dim`` (unique string ``key``, column ``counts`` = rows of that key) without skew: rows' columns, then dim's.
 
-    A dimension of at most BROADCAST_ROWS rows is broadcast. Beyond that, keys that hold more than 1/share of all
-    counted rows are at most ``share`` many, so they alone are broadcast; their rows get a spread null-match key
-    in the shuffled join, in which no key then holds more than 1/share.
+    A dimension of at most ``most_bytes`` (BROADCAST_BYTES) is broadcast. Beyond that, keys that hold more than 1/share
+    of all counted rows are at most ``share`` many, so they alone are broadcast; their rows and those without key get a
+    spread key in the shuffled join, in which no key then holds more than 1/share. Rows, columns and their order are
+    the same either way.
     """
-    if dim_rows <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(dim.drop(counts)), key, "left")
-    total = dim.agg(F.sum(counts)).first()[0] or 0
+    _, size, total = size_of(dim, F.coalesce(F.sum(counts), F.lit(0)))
     values = [c for c in dim.columns if c not in (key, counts)]
-    hot = dim.filter(F.col(counts) > total / share)
-    flat = hot.select(F.col(key).alias("_hk"), *[F.col(v).alias(f"_h_{v}") for v in values])
-    cold = dim.filter(F.col(counts) <= total / share).select(F.col(key).alias("_ck"), *[F.col(v).alias(f"_c_{v}") for v in values])
-    spread = F.when(F.col("_hk").isNotNull() | F.col(key).isNull(), F.concat(F.lit("\x00"), F.xxhash64(*rows.columns[:1]).cast("string"))).otherwise(F.col(key).cast("string"))
-    joined = rows.join(F.broadcast(flat), F.col(key) == F.col("_hk"), "left").withColumn("_jk", spread)
-    joined = joined.join(cold.withColumn("_ck", F.col("_ck").cast("string")), F.col("_jk") == F.col("_ck"), "left")
-    return joined.select(*rows.columns, *[F.coalesce(f"_h_{v}", f"_c_{v}").alias(v) for v in values])
+    if size <= (BROADCAST_BYTES if most_bytes is None else most_bytes):
+        return rows.join(F.broadcast(dim.drop(counts)), key, "left").select(*rows.columns, *values)
+    held = F.struct(*values)
+    hot = dim.filter(F.col(counts) > total / share).select(F.col(key).alias("_hk"), held.alias("_hv"))
+    cold = dim.filter(F.col(counts) <= total / share).select(F.concat(F.lit("k"), F.col(key).cast("string")).alias("_ck"), held.alias("_cv"))
+    spread = F.when(F.col("_hk").isNotNull() | F.col(key).isNull(), F.concat(F.lit("s"), F.monotonically_increasing_id().cast("string"))).otherwise(F.concat(F.lit("k"), F.col(key).cast("string")))
+    joined = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left").withColumn("_jk", spread)
+    joined = joined.join(cold, F.col("_jk") == F.col("_ck"), "left").withColumn("_v", F.coalesce("_hv", "_cv"))
+    return joined.select(*rows.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,15 +1,20 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+ROOT = str(Path(__file__).resolve().parents[1])
+sys.path.insert(0, ROOT)
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
+
+from pyspark.sql import SparkSession  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    conf = {"spark.master": "local[4]", "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"}
+    conf = {"spark.master": "local[4]", "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
     s = SparkSession.builder.config(map=conf).getOrCreate()
+    s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
