@@ -79,15 +79,20 @@ def size_of(df: DataFrame, *more: Column) -> tuple:
     return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), *more).first())
 
 
-def with_dim(rows: DataFrame, dim: DataFrame, key: str, counts: str, share: int = 64, most_bytes: int | None = None) -> DataFrame:
+def measured(dim: DataFrame, counts: str) -> tuple:
+    """Rows and bytes of a dimension and the rows that it counts, for with_dim."""
+    return size_of(dim, F.coalesce(F.sum(counts), F.lit(0)))
+
+
+def with_dim(rows: DataFrame, dim: DataFrame, key: str, counts: str, share: int = 64, most_bytes: int | None = None, sizes: tuple | None = None) -> DataFrame:
     """Left-join the staged dimension ``dim`` (unique string ``key``, column ``counts`` = rows of that key) without skew: rows' columns, then dim's.
 
     A dimension of at most ``most_bytes`` (BROADCAST_BYTES) is broadcast. Beyond that, keys that hold more than 1/share
     of all counted rows are at most ``share`` many, so they alone are broadcast; their rows and those without key get a
     spread key in the shuffled join, in which no key then holds more than 1/share. Rows, columns and their order are
-    the same either way.
+    the same either way. ``sizes`` is measured(dim, counts), where it is known.
     """
-    _, size, total = size_of(dim, F.coalesce(F.sum(counts), F.lit(0)))
+    _, size, total = sizes or measured(dim, counts)
     values = [c for c in dim.columns if c not in (key, counts)]
     if size <= (BROADCAST_BYTES if most_bytes is None else most_bytes):
         return rows.join(F.broadcast(dim.drop(counts)), key, "left").select(*rows.columns, *values)
