@@ -1,7 +1,7 @@
 """Splits that keep related records together: connected components by random-mate contraction, then whole groups.
 
-Records with the same camera or the same video belong together. Each video's cameras are first linked in a star, so
-the graph has cameras as vertices only and no record's links are listed in full. In a round every vertex tosses a
+Records with the same camera or the same video belong together. The cameras of a video that has several are first linked
+in a star, so the graph has cameras as vertices only and no record's links are listed in full. In a round every vertex tosses a
 coin (a hash of vertex and round); a tail with a head as neighbour joins the least such head; edges are rewritten
 and deduplicated, until none is left. The rounds' moves are then unwound from the last to the first.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.stages import stage, with_dim
+from marlstone.stages import drop_stage, measured, stage, with_dim
 
 #: Rounds after which contraction gives up; each removes a quarter of the vertices with edges on average.
 MOST_ROUNDS = 200
@@ -32,13 +32,17 @@ def components(edges: DataFrame) -> DataFrame:
         if left.isEmpty():
             break
         head = lambda c, r=round_: F.pmod(F.xxhash64(c, F.lit(r)), F.lit(2)) == 1
-        both = left.union(left.select("b", "a"))
-        move = stage(both.filter(~head("a") & head("b")).groupBy("a").agg(F.min("b").alias("mate")))
+        both = left.union(left.select("b", "a")).filter(~head("a"))
+        move = both.groupBy("a").agg(F.min(F.when(head("b"), F.col("b"))).alias("mate"), F.count("*").alias("edges"))
+        move = stage(move.filter("mate is not null"))
         moves.append(move)
-        to = lambda side, m=move: m.select(F.col("a").alias(f"_{side}"), F.col("mate").alias(f"_{side}_to"))
-        new = left.join(to("a"), F.col("a") == F.col("_a"), "left").join(to("b"), F.col("b") == F.col("_b"), "left")
+        # a star's centre may stand in many edges: such keys are looked up without a shuffle
+        sizes = measured(move, "edges")
+        side = lambda df, c, m=move, z=sizes: with_dim(df, m.select(F.col("a").alias(c), F.col("mate").alias(f"_{c}_to"), "edges"), c, "edges", sizes=z)
+        new = side(side(left, "a"), "b")
         a, b = F.coalesce("_a_to", "a"), F.coalesce("_b_to", "b")
-        left = stage(new.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct())
+        before, left = left, stage(new.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct())
+        drop_stage(before)
     else:
         raise RuntimeError(f"edges are left after {MOST_ROUNDS} rounds")
     # a head never moves in its round, so it is enough to send each moved vertex where its mate ends up
@@ -60,28 +64,27 @@ def related_groups(records: DataFrame, key: str, camera: str, video: str) -> Dat
 
     Records with the same non-null camera or the same non-null video are related, directly or through others. The
     group's id is the least of its cameras, or its video if it has none. A record with neither is alone: its group
-    is null and n is 1. Repeated keys stay apart.
+    is null and n is 1. Repeated keys stay apart. No camera, video or group is gathered in one task.
     """
     rows = records.select(F.col(key).alias("_k"), F.col(camera).cast("string").alias("cam"), F.col(video).cast("string").alias("vid"))
     pairs = stage(rows.groupBy("vid", "cam").agg(F.count("*").alias("n")))
-    per_video = pairs.filter("vid is not null and cam is not null").groupBy("vid").agg(F.min("cam").alias("least"), F.count("*").alias("cams"))
-    per_video = stage(per_video)
-    shared = per_video.filter("cams > 1")
-    links = pairs.filter("cam is not null").join(shared, "vid").select(F.col("least").alias("a"), F.col("cam").alias("b"))
-    loops = pairs.filter("cam is not null").select(F.col("cam").alias("a"), F.col("cam").alias("b"))
-    roots = components(links.union(loops.distinct()))
-    named = roots.join(roots.groupBy("root").agg(F.min("v").alias("group_id")), "root").select(F.col("v").alias("cam"), "group_id")
-    # a record's place: its camera, or a camera of its video, or the video itself
-    place = pairs.join(per_video.select("vid", "least"), "vid", "left").withColumn("cam2", F.coalesce("cam", "least"))
-    sized = place.join(named.withColumnRenamed("cam", "cam2"), "cam2", "left").select("vid", "cam", "n", F.coalesce("group_id", "vid").alias("group_id"))
-    sized = stage(sized)
-    groups = sized.groupBy("group_id").agg(F.sum("n").alias("size"))
-    by_cam = sized.filter("cam is not null").groupBy("cam").agg(F.min("group_id").alias("group_id"), F.sum("n").alias("rows"))
-    by_vid = sized.filter("cam is null and vid is not null").groupBy("vid").agg(F.min("group_id").alias("group_id"), F.sum("n").alias("rows"))
-    keyed = by_cam.select(F.concat(F.lit("c"), "cam").alias("at"), "group_id", "rows").union(by_vid.select(F.concat(F.lit("v"), "vid").alias("at"), "group_id", "rows"))
-    dim = stage(keyed.join(groups, "group_id").select("at", "group_id", "size", "rows"))
-    rows = rows.select("_k", F.coalesce(F.concat(F.lit("c"), "cam"), F.concat(F.lit("v"), "vid")).alias("at"))
-    out = with_dim(rows, dim, "at", "rows", dim.count())
+    # only videos of several cameras link them, and only videos of rows without camera need to know their camera
+    several = pairs.filter("vid is not null").groupBy("vid").agg(F.min("cam").alias("least"), F.count("cam").alias("cams"), F.count("*").alias("places"))
+    several = stage(several.filter("places > 1 and least is not null"))
+    linked = with_dim(pairs.filter("cam is not null"), several.filter("cams > 1").drop("places"), "vid", "cams")
+    roots = components(linked.filter("least is not null").select(F.col("least").alias("a"), F.col("cam").alias("b")))
+    cams = pairs.filter("cam is not null").groupBy("cam").agg(F.sum("n").alias("n"))
+    cams = stage(cams.join(roots.withColumnRenamed("v", "cam"), "cam", "left").select("cam", "n", F.coalesce("root", "cam").alias("root")))
+    lone = with_dim(pairs.filter("cam is null and vid is not null").select("vid", "n"), several.select("vid", "least", "places"), "vid", "places")
+    lone = stage(with_dim(lone.withColumnRenamed("least", "cam"), cams, "cam", "n").select("vid", "n", "root"))
+    # a place of rows: their camera, or their video; its group: the component of cameras, or the video alone
+    placed = cams.select(F.concat(F.lit("c"), "cam").alias("at"), "n", F.concat(F.lit("c"), "root").alias("g"), "cam")
+    placed = stage(placed.union(lone.select(F.concat(F.lit("v"), "vid"), "n", F.coalesce(F.concat(F.lit("c"), "root"), F.concat(F.lit("v"), "vid")), F.lit(None))))
+    groups = stage(placed.groupBy("g").agg(F.coalesce(F.min("cam"), F.min(F.expr("substring(g, 2)"))).alias("group_id"), F.sum("n").alias("size"), F.count("*").alias("places")))
+    dim = stage(with_dim(placed.select("at", "n", "g"), groups, "g", "places").select("at", "group_id", "size", "n"))
+    drop_stage(pairs, several, cams, lone, placed, groups)
+    at = F.coalesce(F.concat(F.lit("c"), "cam"), F.concat(F.lit("v"), "vid"))
+    out = with_dim(rows.select("_k", at.alias("at")), dim, "at", "n")
     return out.select(F.col("_k").alias(key), "group_id", F.coalesce("size", F.lit(1)).alias("n"))
 
 

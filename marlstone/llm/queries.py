@@ -40,7 +40,7 @@ def p4_splits(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(_groups(spark, sf).withColumn("group_id", F.coalesce("group_id", F.concat(F.lit("row "), F.col("pos").cast("string")))))
     each = stage(rows.groupBy("group_id").agg(F.count("*").alias("n")))
     split = stage(groups.group_splits(each, "group_id", "n", {"train": 0.8, "validation": 0.1, "test": 0.1}))
-    return with_dim(rows.select("pos", "group_id"), split.select("group_id", "n", "split"), "group_id", "n", split.count())
+    return with_dim(rows.select("pos", "group_id"), split.select("group_id", "n", "split"), "group_id", "n")
 
 
 def _overlaps(spark: SparkSession, sf: str) -> DataFrame:
