@@ -3,7 +3,7 @@
 Of every window of WINDOW successive k-gram hashes the least is kept, on both sides by the same rule; so any run
 of K + WINDOW - 1 = 6 shared words shares a kept hash. Six is what the definition needs: twelve successive words
 contain such a run, and so do twenty words with at most one edit in eight, wherever the edits fall. Hits are
-joined by hash and extended by an exact alignment.
+joined by hash with their places on both sides, and each is extended by an exact alignment of the words around it.
 """
 
 from __future__ import annotations
@@ -19,13 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.stages import BROADCAST_ROWS, stage
+from marlstone.stages import BROADCAST_BYTES, drop_stage, size_of, stage, with_dim
 
 K, WINDOW = 5, 2
 #: Successive words of an exact passage; least words of an edited one and words per allowed edit.
 EXACT, EDITED, PER_EDIT = 12, 20, 8
 #: Test fingerprints up to which they filter the corpus where it is read (16 MB); beyond, all fingerprints are joined.
 FILTER_FINGERPRINTS = 2_000_000
+#: Words of a cell, by which hits are gathered. Words before and after a hit within which any passage that holds it lies: a passage that is no longer than it must be has fewer than 2 * EDITED words, and an edit shifts by one.
+CELL, REACH = 96, 2 * EDITED + 2 * EDITED // PER_EDIT
+#: Tasks over which each fingerprint is spread where the fingerprints are too large for a broadcast.
+SALTS = 16
 #: Words that a worker remembers with their hashes.
 KNOWN_WORDS = 1_000_000
 
@@ -112,35 +116,68 @@ def leaked(a: list[str], b: list[str]) -> bool:
     return False
 
 
+def extended(a: list[str], b: list[str], i: int, j: int) -> int:
+    """Length of the run of equal words of ``a`` and ``b`` around ``a[i]`` and ``b[j]``."""
+    lo = 0
+    while lo < min(i, j) and a[i - lo - 1] == b[j - lo - 1]:
+        lo += 1
+    hi = 0
+    while hi < min(len(a) - i, len(b) - j) and a[i + hi] == b[j + hi]:
+        hi += 1
+    return lo + hi
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (h, text, cells) to one row per cell with the words of the text around its hits, and where these begin."""
+    for b in batches:
+        h, texts, cells = b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()
+        of, rows = [], []
+        for k, (text, own) in enumerate(zip(texts, cells, strict=True)):
+            words = words_of(text)
+            for c in own:
+                begin = max(0, c["lo"] - REACH)
+                of.append(k)
+                rows.append((c["item"], " ".join(words[begin : c["hi"] + K + REACH]), c["first"]["p"] - begin, c["first"]["ip"], c["last"]["p"] - begin, c["last"]["ip"], c["ilo"], c["ihi"]))
+        cols = list(zip(*rows, strict=True)) or [()] * 8
+        kinds = [b.schema.field(2).type.value_type.field("item").type, pa.string(), *[pa.int32()] * 6]
+        yield pa.RecordBatch.from_arrays([h.take(pa.array(of, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["h", "_i", "window", "j0", "i0", "j1", "i1", "ilo", "ihi"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _windows with the item's words to the pairs (h, _i) that are leaks: hits are extended word by word, then by edits."""
     for b in batches:
-        good, seen, words = [], None, []
-        for k, (text, item, lo, hi) in enumerate(zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)):
-            a = words_of(item)
-            if text is not seen and text != seen:
-                seen, words = text, words_of(text)
-            reach = len(a) + len(a) // 4 + PER_EDIT
-            good.append(leaked(a, words[max(0, lo - reach) : hi + K + reach]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["_k", "_i"]).filter(pa.array(good, pa.bool_()))
+        good = []
+        for window, j0, i0, j1, i1, ilo, ihi, item in zip(*(b.column(k).to_pylist() for k in range(2, 10)), strict=True):
+            x, y = item.split(" "), window.split(" ")
+            exact = max(extended(x, y, i0, j0), extended(x, y, i1, j1)) >= EXACT
+            good.append(exact or leaked(x[max(0, ilo - REACH) : ihi + K + REACH], y))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["h", "_i"]).filter(pa.array(good, pa.bool_()))
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([" ".join(words_of(t)) for t in b.column(1).to_pylist()], pa.string())], ["_i", "item"])
 
 
 def leaked_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
     """``key``, ``item_key``: each document with each item of which it holds a passage.
 
-    Null, empty and blank texts hold nothing. Equal keys are merged: a pair comes out once. Texts of any length are
-    processed whole; no number of items or documents is capped.
+    Null, empty and blank texts hold nothing. Equal keys are merged: a pair comes out once; null keys too. Texts of any
+    length are processed whole; no number of items, hits or documents is capped, and copies of a text are verified once.
+    Hits of a text and an item are gathered by cells of CELL words on either side, so that a chance hit far away
+    widens no other's window; each cell is extended by REACH words, which holds every passage around its hits.
     """
-    docs = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"))
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).withColumn("h", F.md5("_t"))
     items = items.select(F.col(item_key).alias("_i"), F.col(text).cast("string").alias("_s")).filter("_s is not null")
+    kind = items.schema["_i"]
 
     def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            t, _, gram = _fingerprints(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(t)), pa.array(gram)], ["_i", "fp"])
+            t, pos, gram = _fingerprints(b.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(t)), pa.array(gram), pa.array(pos.astype(np.int32))], ["_i", "fp", "ip"])
 
-    kind = items.schema["_i"]
-    prints = stage(items.mapInArrow(of_items, T.StructType([kind, T.StructField("fp", T.LongType())])).distinct())
-    n = prints.count()
+    prints = stage(items.mapInArrow(of_items, T.StructType([kind, *T.StructType.fromDDL("fp long, ip int").fields])).distinct())
+    n, size = size_of(prints)
     wanted = None
     if n <= FILTER_FINGERPRINTS:
         wanted = docs.sparkSession.sparkContext.broadcast(np.unique(prints.select("fp").toArrow().column(0).to_numpy()) if n else np.zeros(0, np.int64))
@@ -155,16 +192,29 @@ def leaked_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", item
                     i = np.minimum(np.searchsorted(w, gram), max(0, len(w) - 1))
                     hit = w[i] == gram if len(w) else np.zeros(len(gram), bool)
                     t, pos, gram = t[hit], pos[hit], gram[hit]
-                have, start = np.unique(t, return_index=True)
-                off = pa.array(np.append(start, len(t)).astype(np.int32))
-                take = pa.array(have)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.ListArray.from_arrays(off, pa.array(gram)), pa.ListArray.from_arrays(off, pa.array(pos.astype(np.int32)))], ["_k", "_t", "fps", "at"])
-
-    schema = T.StructType([docs.schema["_k"], docs.schema["_t"], *T.StructType.fromDDL("fps array<long>, at array<int>").fields])
-    found = stage(docs.mapInArrow(of_docs, schema).withColumn("_row", F.monotonically_increasing_id()))
-    each = found.select("_row", F.explode(F.arrays_zip("fps", "at")).alias("h")).select("_row", F.col("h.fps").alias("fp"), F.col("h.at").alias("p"))
-    hits = each.join(F.broadcast(prints) if n <= BROADCAST_ROWS else prints, "fp")
-    pairs = hits.groupBy("_row", "_i").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
-    both = pairs.join(found.select("_row", "_k", "_t"), "_row").join(items, "_i")
-    out = both.select("_k", "_i", "_t", "_s", "lo", "hi").mapInArrow(_verify, T.StructType([docs.schema["_k"], kind]))
-    return out.distinct().select(F.col("_k").alias(key), F.col("_i").alias(item_key))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(t)), pa.array(gram), pa.array(pos.astype(np.int32))], ["h", "fp", "p"])
+
+    each = rows.filter("_t is not null").select("h", "_t").mapInArrow(of_docs, "h string, fp long, p int")
+    if size <= BROADCAST_BYTES:
+        hits = each.join(F.broadcast(prints), "fp")
+    else:  # a passage that many documents hold is spread over SALTS tasks
+        spread = prints.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hits = each.withColumn("salt", F.pmod(F.xxhash64("h", "p"), F.lit(SALTS)).cast("int")).join(spread, ["fp", "salt"])
+    place = F.struct("p", "ip")
+    cells = hits.groupBy("h", "_i", F.floor(F.col("p") / CELL).alias("pc"), F.floor(F.col("ip") / CELL).alias("ic")).agg(
+        F.min("p").alias("lo"), F.max("p").alias("hi"), F.min("ip").alias("ilo"), F.max("ip").alias("ihi"), F.min(place).alias("first"), F.max(place).alias("last")
+    )
+    # a text's cells are at most its hits; they are small numbers beside the text itself
+    cells = stage(cells.groupBy("h").agg(F.collect_list(F.struct(F.col("_i").alias("item"), "lo", "hi", "ilo", "ihi", "first", "last")).alias("cells"), F.lit(1).alias("one")))
+    found = with_dim(rows.filter("_t is not null").select("h", "_t"), cells, "h", "one").filter("cells is not null")
+    found = found.groupBy("h").agg(F.first("_t").alias("_t"), F.first("cells").alias("cells"))
+    out = T.StructType([T.StructField("h", T.StringType()), kind, *T.StructType.fromDDL("window string, j0 int, i0 int, j1 int, i1 int, ilo int, ihi int").fields])
+    # windows are short; from here on the work is spread evenly, whatever document or item they come from
+    windows = stage(found.select("h", "_t", "cells").mapInArrow(_windows, out))
+    words = items.mapInArrow(_word_rows, T.StructType([kind, T.StructField("item", T.StringType())])).groupBy("_i").agg(F.collect_set("item").alias("items"))
+    pairs = windows.repartition(F.xxhash64("h", "_i", "j0", "i0", "ilo")).join(words, "_i").select(*windows.columns, F.explode("items").alias("item"))
+    leaks = pairs.mapInArrow(_verify, T.StructType([T.StructField("h", T.StringType()), kind]))
+    leaks = stage(leaks.groupBy("h").agg(F.collect_set("_i").alias("found"), F.lit(1).alias("one")))
+    all_ = with_dim(rows.filter("_t is not null").select("_k", "h"), leaks, "h", "one").filter("found is not null")
+    drop_stage(prints, cells, windows)
+    return all_.select("_k", F.explode("found").alias("_i")).distinct().select(F.col("_k").alias(key), F.col("_i").alias(item_key))
