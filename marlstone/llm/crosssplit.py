@@ -136,7 +136,7 @@ def cross_split_overlaps(records: DataFrame, key: str, split: Column, camera: Co
     sums = both.agg(F.count("*").alias("keys"), F.sum("n").alias("n"), F.sum("pairs").alias("pairs")).first()
     shards = max(1, (sums.n or 0) // SHARD_ROWS, (sums.pairs or 0) // SHARD_PAIRS)
     # of a large key each block of evaluation rows meets each block of training rows, in a cell of its own
-    placed = with_dim(keyed, both.drop("pairs"), "k", "n", sums["keys"]).filter("tb is not null")
+    placed = with_dim(keyed, both.drop("pairs"), "k", "n").filter("tb is not null")
     mine = F.pmod(F.xxhash64("pos"), F.when(F.col("is_train"), F.col("tb")).otherwise(F.col("eb")))
     others = F.sequence(F.lit(0).cast("long"), F.when(F.col("is_train"), F.col("eb")).otherwise(F.col("tb")) - 1)
     placed = placed.withColumn("_m", mine).withColumn("_o", F.explode(others))
