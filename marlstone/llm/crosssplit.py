@@ -1,9 +1,10 @@
 """Records that stand, the same or nearly so, in the training split and in an evaluation split.
 
 Each record gives up to three normalised passages: its video id, the recording that its file name states, and its
-description. Passages are sharded by what a pair must have in common (video id; recording; camera and time slot).
-A shard builds one Aho-Corasick automaton over its evaluation passages (a description as MOST_EDITS + 1 pieces, of
-which an edited copy keeps at least one) and scans its training texts. Matched intervals are merged into
+description. Passages are sharded by hash: of the id, the recording, or camera and time slot; passages that no record
+of the other side can share a shard with are left out first. A shard builds one Aho-Corasick automaton over all its
+evaluation passages (a description as MOST_EDITS + 1 pieces, of which an edited copy keeps at least one) and scans all
+its training texts; an id or recording counts where the automaton matches the whole text. Matched intervals are merged into
 the coverage of each evaluation record over all its training records, and near copies are confirmed by an exact word edit distance.
 """
 
@@ -21,7 +22,7 @@ from marlstone.stages import stage, with_dim
 #: Words that near copies may differ in, seconds that they may lie apart.
 MOST_EDITS, SECONDS = 2, 2
 #: Rows and pairs of a shard, and rows of a key on either side from which it is spread over several shards.
-SHARD_ROWS, SHARD_PAIRS, HOT_ROWS = 40_000, 500_000, 500
+SHARD_ROWS, SHARD_PAIRS, HOT_ROWS = 5_000, 200_000, 500
 
 
 def within_edits(a: list[str], b: list[str], most: int = MOST_EDITS) -> bool:
@@ -82,15 +83,12 @@ def scan_shard(rows: pd.DataFrame) -> pd.DataFrame:
         hits: dict[int, tuple[str, int, list]] = {other: (own, time, [(b, b + len(part)) for b, part in _pieces(own) if part in f" {text} "]) for own, other, time in short.get((kind, at), ())}
         for _, where in automaton.iter(f" {text} ") if patterns else ():
             for begin, size, own, other, time in where.get((kind, at), ()):
+                if kind != "near" and size != len(text) + 2:  # an id within a longer one
+                    continue
                 hits.setdefault(other, (own, time, []))[2].append((begin, begin + size))
         words = text.split()
         for other, (own, time, spans) in hits.items():
-            if kind == "near":
-                if abs(time - us) > SECONDS * 1_000_000:
-                    continue
-                if not within_edits(own.split(), words):
-                    continue
-            elif own != text:
+            if kind == "near" and (abs(time - us) > SECONDS * 1_000_000 or not within_edits(own.split(), words)):
                 continue
             merged: list[dict] = []
             for begin, end in sorted(spans):
@@ -142,7 +140,8 @@ def cross_split_overlaps(records: DataFrame, key: str, split: Column, camera: Co
     placed = placed.withColumn("_m", mine).withColumn("_o", F.explode(others))
     cell = F.when(F.col("is_train"), F.concat_ws(".", "_m", "_o")).otherwise(F.concat_ws(".", "_o", "_m"))
     placed = placed.select("pos", "us", "kind", "at", "text", "split", "cam", "is_train", cell.alias("cell"), F.pmod(F.xxhash64("k", cell), F.lit(shards)).alias("shard"))
-    placed = placed.withColumn("at", F.concat_ws("#", "at", "cell")).drop("cell")
+    # within a shard only the block, and for descriptions camera and slot, keep passages apart; the automaton does the rest
+    placed = placed.withColumn("at", F.when(F.col("kind") == "near", F.concat_ws("#", "at", "cell")).otherwise(F.col("cell"))).drop("cell")
     pairs = placed.groupBy("shard").applyInPandas(scan_shard, "kind string, train long, eval long, coverage double, spans array<struct<s:int,e:int>>, size int, split string, camera string")
     return pairs.groupBy("kind", "train", "eval").agg(F.max("coverage").alias("coverage"), F.max("spans").alias("spans"), F.max("size").alias("size"), F.min("split").alias("split"), F.min("camera").alias("camera"))
 
