@@ -17,6 +17,8 @@ from marlstone.stages import stage, strip_blanks
 
 #: Records of a part that one task draws from, and Newton iterations at most.
 PART, ITERATIONS = 100_000, 200
+#: Share of a goal, and records, by which a draw may be off before it counts as missed.
+MISSED, MISSED_ROWS = 0.01, 2
 #: Weight of the ridge that keeps the dual finite where targets contradict each other.
 RIDGE = 1e-6
 
@@ -136,8 +138,10 @@ def matching_sample(records: DataFrame, axes: dict[str, str], targets: DataFrame
 
     ``targets`` has axis, letter, p and min_n, a bounded table. A record usable on some axis may be drawn. The size
     of an axis is ``fraction`` of its usable records. sample: the records drawn, with ``probability``. report: axis,
-    letter, p, min_n, usable, wanted (p times the size), drawn, short (too few usable records for the share or the
-    minimum). Null p counts as 0, null min_n as 0; letters without target aren't drawn on purpose; where a draw
+    letter, p, min_n, usable, wanted (p times the size), goal (what remains to be wanted once minimums are kept and
+    what short letters lack is given to the others), drawn, gap (drawn less goal), short (too few usable records for
+    the share or the minimum), missed (drawn is off its goal by more than MISSED of it and more than MISSED_ROWS:
+    the axes contradict each other). Null p counts as 0, null min_n as 0; letters without target aren't drawn on purpose; where a draw
     leaves a letter under its floor by rounding, the missing records are added. An empty table gives an empty sample.
     """
     names = list(axes.values())
@@ -179,12 +183,16 @@ def matching_sample(records: DataFrame, axes: dict[str, str], targets: DataFrame
                 drawn[r["cell"]] += r["count"]
             chosen = chosen.union(more)
     sample = chosen.join(F.broadcast(dim.select("cell", "p", *names)), "cell").select(F.col("id").alias(id_), *names, F.col("p").alias("probability"))
+    goals = dict(zip(keys, want, strict=True))
     sizes = {a: fraction * sum(n for (b, k), n in have.items() if b == a and k is not None) for a in axes}
     out = []
     for r in rows:
         if r.axis in axes:
             n = have.get((r.axis, r.letter), 0)
             got = sum(drawn[i] for i, c in enumerate(cells) if c[axes[r.axis]] == r.letter)
-            out.append((r.axis, r.letter, float(r.p), int(r.min_n), int(n), float(r.p * sizes[r.axis]), int(got), bool(n < r.p * sizes[r.axis] - 1e-6 or n < r.min_n)))
-    report = spark.createDataFrame(out, "axis string, letter string, p double, min_n int, usable long, wanted double, drawn long, short boolean")
+            goal = goals[r.axis, r.letter]
+            short = n < r.p * sizes[r.axis] - 1e-6 or n < r.min_n
+            missed = abs(got - goal) > max(MISSED_ROWS, MISSED * goal)
+            out.append((r.axis, r.letter, float(r.p), int(r.min_n), int(n), float(r.p * sizes[r.axis]), float(goal), int(got), float(got - goal), bool(short), bool(missed)))
+    report = spark.createDataFrame(out, "axis string, letter string, p double, min_n int, usable long, wanted double, goal double, drawn long, gap double, short boolean, missed boolean")
     return sample, report
