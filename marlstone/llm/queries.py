@@ -71,6 +71,11 @@ def p2_segments(spark: SparkSession, sf: str) -> DataFrame:
     return _chains(spark, sf).select("src", "pos", F.explode("segments").alias("s")).select("src", "pos", "s.*")
 
 
+def p2_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Each chain's language with a confidence, and its number of segments."""
+    return _chains(spark, sf).select("src", "pos", "language", "confidence", F.size("segments").alias("segments"))
+
+
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf, "documents"))
 
@@ -91,5 +96,5 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return spam.spam_pages(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_segments, p4_found, p4_splits, p5_found, p5_report, p7_ids, p7_decoded, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_segments, p2_documents, p4_found, p4_splits, p5_found, p5_report, p7_ids, p7_decoded, p8_found, p9_found)}
 ORACLE: dict[str, str] = {}
