@@ -241,7 +241,7 @@ def meta_renamed(spark: SparkSession, sf: str) -> DataFrame:
 
 def unmarked(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without either of two markers."""
-    return table(spark, sf, "documents").filter(~texts.marked(F.col("text"), "http://", "buy now")).select("doc_id")
+    return table(spark, sf, "documents").filter(~texts.marked(F.col("text"), "https://", "@")).select("doc_id")
 
 
 def constrained_pick(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,6 +343,6 @@ SELECT pos, array_to_string([s[k] || ':' || (e[k] - s[k]) FOR k IN range(1, len(
     "pad_fixed": f"WITH w AS (SELECT pos, [CASE WHEN length(w) = 2 THEN -1 ELSE length(w) END FOR w IN {words('labels.description')}] AS v FROM labels) SELECT pos, {_join('[coalesce(v[i], 0) FOR i IN range(1, 25)]')} AS lengths FROM w",
     "cot_mode": f"WITH c AS (SELECT DISTINCT video_id FROM asset_c_reasoning WHERE video_id IS NOT NULL AND coalesce(reasoning_chain, '') <> '') SELECT l.pos, coalesce({split("l.meta['source_split']")} = 'train' AND c.video_id IS NOT NULL AND substr(md5('cot:' || l.pos), 1, 8) < '99999999', false) AS with_chain FROM labels l LEFT JOIN c ON l.video_id = c.video_id",
     "meta_renamed": "SELECT pos, replace(e.key, 'camera_', 'device_') AS key, CASE WHEN starts_with(e.key, 'camera_') THEN 'camera' ELSE 'other' END AS part, e.value AS value FROM (SELECT pos, unnest(map_entries(meta)) AS e FROM labels)",
-    "unmarked": "SELECT doc_id FROM documents WHERE NOT coalesce(contains(text, 'http://') OR contains(text, 'buy now'), false)",
+    "unmarked": "SELECT doc_id FROM documents WHERE NOT coalesce(contains(text, 'https://') OR contains(text, '@'), false)",
     "constrained_pick": "SELECT vec_id, (list_position(embedding[1:5], list_max(embedding[1:5])) - 1)::BIGINT AS step0, 26::BIGINT AS step1, (list_position(embedding[6:26], list_max(embedding[6:26])) + 4)::BIGINT AS step2, 26::BIGINT AS step3, (list_position(embedding, list_max(embedding)) - 1)::BIGINT AS step4 FROM embeddings",
 }
