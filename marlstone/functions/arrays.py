@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def hash_below(key: Column, p: float) -> Column:
     return F.coalesce(F.substring(F.md5(key.cast("string")), 1, 8) < f"{int(max(0.0, p) * 2**32):08x}", F.lit(False))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, though a lambda within evaluates it for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def uniform_indices(n: Column, k: int) -> Column:
     """``k`` places from 0 to n - 1 in even steps, halves rounded to even; the last one repeated where n < k; null for n <= 0 or null."""
     step = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * ((n - 1) / F.lit(float(max(k - 1, 1))))).cast("int"))
@@ -69,11 +76,15 @@ def masked(values: Column, kinds: Column, kind: int, instead: int) -> Column:
 
 def normalised(values: Column) -> Column:
     """``values`` with mean 0 and length 1; all 0 where they hardly differ. Elements become doubles."""
-    v = F.transform(values, lambda x: x.cast("double"))
-    mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
-    centred = F.transform(v, lambda x: x - mean)
-    size = F.sqrt(F.aggregate(centred, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(size > 1e-6, F.transform(centred, lambda x: x / size)).otherwise(centred)
+    total = lambda v, f: F.aggregate(v, F.lit(0.0), f)
+    centred = lambda v: bound(total(v, lambda a, x: a + x) / F.size(v), lambda m: F.transform(v, lambda x: x - m))
+    return bound(F.transform(values, lambda x: x.cast("double")), lambda v: bound(centred(v), unit_length))
+
+
+def unit_length(v: Column) -> Column:
+    """Doubles divided by the length of the array; as they are where it is hardly above 0."""
+    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    return bound(length, lambda n: F.when(n > 1e-6, F.transform(v, lambda x: x / n)).otherwise(v))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -138,9 +149,11 @@ def smoothed_loss(log_probs: Column, label: Column, smoothing: float = 0.1) -> C
 
 def subset_sample(scores: Column, uniform: Column, temperature: float = 1.0) -> Column:
     """The place (from 0) that a softmax of ``scores`` draws for ``uniform`` in [0, 1)."""
+    def drawn(e: Column, total: Column) -> Column:
+        zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+        step = lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.when(acc["sum"] + x <= uniform * total, acc["n"] + 1).otherwise(acc["n"]).alias("n"))
+        return F.aggregate(e, zero, step, lambda acc: F.least(acc["n"], F.size(scores) - 1))
+
     z = F.transform(scores, lambda x: x / max(temperature, 1e-6))
-    e = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
-    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
-    step = lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.when(acc["sum"] + x <= uniform * total, acc["n"] + 1).otherwise(acc["n"]).alias("n"))
-    return F.aggregate(e, zero, step, lambda acc: F.least(acc["n"], F.size(scores) - 1))
+    exps = bound(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(x - m)))
+    return bound(exps, lambda e: bound(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda t: drawn(e, t)))

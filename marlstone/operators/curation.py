@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.operators.scoring import same, share
@@ -57,8 +57,8 @@ def cleaned(rows: DataFrame, suspects: DataFrame, key: str, by: str, exempt: str
     both = marked.join(gone, key, "left").withColumn("_gone", F.coalesce("_gone", F.lit(False)))
     kept = both.filter(~F.col("_gone")).select(*rows.columns)
     counts = both.groupBy(by).agg(F.count("*").alias("before"), F.count_if("_hit").alias("dropped"), F.count_if(~F.col("_gone")).alias("after"))
-    totals = counts.agg(F.sum("before").alias("_b"), F.sum("after").alias("_a"))
-    full = counts.join(F.broadcast(totals)).withColumn("fraction", share(F.col("dropped"), F.col("before")))
+    every = Window.partitionBy(F.lit(0))  # over one row a class
+    full = counts.withColumn("_b", F.sum("before").over(every)).withColumn("_a", F.sum("after").over(every)).withColumn("fraction", share(F.col("dropped"), F.col("before")))
     change = F.round(F.coalesce(F.try_divide(F.col("after"), F.col("_a")), F.lit(0.0)) - F.coalesce(F.try_divide(F.col("before"), F.col("_b")), F.lit(0.0)), 6)
     return kept, full.select(by, "before", "dropped", "after", "fraction", change.alias("change"))
 

@@ -70,11 +70,10 @@ def vocab_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 def group_overlap(spark: SparkSession, sf: str) -> DataFrame:
     """Cameras of train and of test, shared ones, and the test rows on shared cameras; empty and missing cameras don't count."""
     rows = _rows(spark, sf).filter("split in ('train', 'test')")
-    cams = rows.filter(F.coalesce("camera", F.lit("")) != "").groupBy("camera").agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b"))
-    both = (F.col("a") > 0) & (F.col("b") > 0)
-    got = cams.agg(F.count_if(F.col("a") > 0).alias("train"), F.count_if(F.col("b") > 0).alias("test"), F.count_if(both).alias("shared"), F.coalesce(F.sum(F.when(both, F.col("b"))), F.lit(0)).cast("long").alias("test_rows"))
-    total = rows.agg(F.count_if(F.col("split") == "test").alias("total"))
-    return got.join(F.broadcast(total)).withColumn("share", share(F.col("test_rows"), F.col("total"))).drop("total")
+    cams = rows.groupBy(F.coalesce("camera", F.lit("")).alias("camera")).agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b"))
+    train, test = (F.col("camera") != "") & (F.col("a") > 0), (F.col("camera") != "") & (F.col("b") > 0)
+    got = cams.agg(F.count_if(train).alias("train"), F.count_if(test).alias("test"), F.count_if(train & test).alias("shared"), F.coalesce(F.sum(F.when(train & test, F.col("b"))), F.lit(0)).cast("long").alias("test_rows"), F.coalesce(F.sum("b"), F.lit(0)).alias("total"))
+    return got.withColumn("share", share(F.col("test_rows"), F.col("total"))).drop("total")
 
 
 def split_checks(spark: SparkSession, sf: str) -> DataFrame:
