@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.identity import recording_of, serial_of, split_of
+from marlstone.functions.identity import recording_of, serial_of, split_of
 from marlstone.stages import stage, with_dim
 
 #: Words that near copies may differ in, seconds that they may lie apart.

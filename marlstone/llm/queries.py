@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import crosssplit, encoding, groups, languages, leaks, sampling, spam
-from marlstone.llm.identity import serial_of
+from marlstone.functions.identity import serial_of
 from marlstone.stages import stage, table, with_dim
 
 
