@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marlstone.stages import stage
+
 #: Bytes of text that are indexed at once.
 CHUNK = 4 << 20
 _SCALAR = r"^(?:-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)$"
@@ -212,8 +214,9 @@ def _nodes_of(texts: pa.Array) -> dict:
     alone = (got["level"] == 0) & pc.equal(got["kind"], "string").to_numpy(zero_copy_only=False)
     rows = got["row"][alone]
     inner = index_texts(got["value"].filter(pa.array(alone)).cast(pa.large_string()))
-    top = ~np.isin(got["row"], got["row"][(got["level"] == 0) & ~np.isin(np.array(got["kind"].to_pylist(), object), ["array", "object"])])
-    deep = ~np.isin(inner["row"], inner["row"][(inner["level"] == 0) & ~np.isin(np.array(inner["kind"].to_pylist(), object), ["array", "object"])])
+    held = pa.array(["array", "object"], pa.string())
+    scalar = lambda nodes: nodes["row"][(nodes["level"] == 0) & ~pc.is_in(nodes["kind"], held).to_numpy(zero_copy_only=False)]
+    top, deep = ~np.isin(got["row"], scalar(got)), ~np.isin(inner["row"], scalar(inner))
     inner["row"] = rows[inner["row"]] if len(inner["row"]) else inner["row"]
     out = {}
     for k in got:
@@ -254,6 +257,27 @@ def nested_nodes(records: DataFrame, keys: list[str], fields: dict[str, Column])
 
 
 def nested_tables(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(containers, leaves) of nested_nodes: arrays and objects, and the values in them, each with the node of its container."""
-    held = F.col("kind").isin("object", "array")
-    return nodes.filter(held).drop("value"), nodes.filter(~held)
+    """(containers, leaves) of nested_nodes: arrays and objects, and the values in them, each with the node of its container.
+
+    The nodes are staged, so texts are indexed once for both tables.
+    """
+    held, once = F.col("kind").isin("object", "array"), stage(nodes)
+    return once.filter(held).drop("value"), once.filter(~held)
+
+
+def child_table(nodes: DataFrame, keys: list[str], array: str | None, members: dict[str, str]) -> DataFrame:
+    """One row for each object in the arrays named ``array`` (None: in any array): keys, attr, node, parent, place and its ``members``, cast to their types.
+
+    parent is the node of the array, place the element's position in it. A member that an object lacks, or whose value
+    doesn't fit its type, is null; of a repeated member the last one counts. Nested members have tables of their own.
+    """
+    ids = [*keys, "attr"]
+    own = (F.col("kind") == "object") & F.col("nth").isNotNull()
+    leaf = F.col("name").isin(*members) & ~F.col("kind").isin("object", "array", "null")
+    rows = nodes.filter(own | leaf).withColumn("_o", F.when(own, F.col("node")).otherwise(F.col("parent")))
+    last = [F.max_by("value", F.when(leaf & (F.col("name") == m), F.col("node"))).try_cast(t).alias(m) for m, t in members.items()]
+    flat = rows.groupBy(*ids, F.col("_o").alias("node")).agg(F.max(F.when(own, F.col("parent"))).alias("parent"), F.max(F.when(own, F.col("nth"))).alias("place"), *last).filter("place is not null")
+    if array is None:
+        return flat
+    named = nodes.filter((F.col("kind") == "array") & (F.col("name") == array)).select(*ids, F.col("node").alias("parent"))
+    return flat.join(named, [*ids, "parent"], "left_semi").select(*flat.columns)
