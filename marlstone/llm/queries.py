@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import crosssplit, encoding, groups, languages, leaks, sampling, spam
+from marlstone.llm import crosssplit, encoding, groups, languages, leaks, oracles, sampling, spam
 from marlstone.functions.identity import serial_of
 from marlstone.stages import stage, table, with_dim
 
@@ -97,4 +97,4 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p2_found, p2_segments, p2_documents, p4_found, p4_splits, p5_found, p5_report, p7_ids, p7_decoded, p8_found, p9_found)}
-ORACLE: dict[str, str] = {}
+ORACLE = oracles.ORACLE
