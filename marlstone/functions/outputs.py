@@ -165,15 +165,18 @@ def weight_at(spans: Column, at: Column) -> Column:
 def token_weights(spans: Column, offsets: Column) -> Column:
     """Of each token (start, end) the greatest weight of its characters; 0 for an empty one.
 
-    The first span that covers a character decides, so the greatest weight of a token is that of a span's first
-    character in the token, or of the token's own first one, or 1 where a character lies in no span.
+    The first span that covers a character decides; what decides changes only where a span begins or ends, so only a
+    token's first character and such places within it are looked at, and none of them where no span meets the token.
     """
-    chars = lambda t: F.sequence(t["start"], t["end"] - 1)
-    return F.transform(offsets, lambda t: F.when(t["end"] <= t["start"], 0.0).otherwise(F.array_max(F.transform(chars(t), lambda p: weight_at(spans, p)))))
+    within = lambda t, p: (p >= t["start"]) & (p < t["end"])
+    places = lambda t: F.concat(F.array(t["start"]), F.filter(F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["end"]))), lambda p: within(t, p)))
+    met = lambda t: F.exists(spans, lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"]))
+    return F.transform(offsets, lambda t: F.when(t["end"] <= t["start"], 0.0).when(~met(t), 1.0).otherwise(F.array_max(F.transform(places(t), lambda p: weight_at(spans, p)))))
 
 
 def prefix_weights(lengths: Column, prefix: int, weight: float = 4.0) -> Column:
-    """Of each token the weight, if it starts before character ``prefix``, else 1; ``lengths`` are the tokens' lengths."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<double>").alias("out"))
-    step = lambda acc, n: F.struct((acc["at"] + n).cast("int").alias("at"), F.concat(acc["out"], F.array(F.when(acc["at"] < prefix, float(weight)).otherwise(1.0))).alias("out"))
-    return F.aggregate(lengths, zero, step, lambda acc: acc["out"])
+    """Of each token the weight, if it starts before character ``prefix``, else 1; ``lengths`` are the tokens' lengths. Starts never fall, so these are the first tokens."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"))
+    step = lambda acc, n: F.struct((acc["at"] + n).cast("int").alias("at"), (acc["k"] + F.when(acc["at"] < prefix, 1).otherwise(0)).alias("k"))
+    k = F.aggregate(lengths, zero, step, lambda acc: acc["k"])
+    return F.concat(F.array_repeat(F.lit(float(weight)), k), F.array_repeat(F.lit(1.0), F.size(lengths) - k))

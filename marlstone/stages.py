@@ -10,7 +10,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
@@ -47,6 +47,15 @@ def stage(df: DataFrame) -> DataFrame:
     return back
 
 
+def counted(df: DataFrame, *aggregates: Column) -> tuple[DataFrame, tuple]:
+    """stage(df), and its number of rows and other ``aggregates``, taken while it is written: no job of their own."""
+    seen = Observation()
+    names = [f"_{k}" for k in range(len(aggregates))]
+    back = stage(df.observe(seen, F.count(F.lit(1)).alias("_n"), *[a.alias(n) for a, n in zip(aggregates, names, strict=True)]))
+    got = seen.get
+    return back, tuple(got[n] for n in ["_n", *names])
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -73,10 +82,15 @@ def clear_stages(spark: SparkSession) -> None:
 BROADCAST_BYTES = 16 << 20
 
 
+def bytes_of(df: DataFrame) -> Column:
+    """About the bytes of all rows of ``df``, as an aggregate."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return F.coalesce(F.sum(width), F.lit(0).cast("long"))
+
+
 def size_of(df: DataFrame, *more: Column) -> tuple:
     """Rows and about the bytes of ``df``, then ``more`` aggregates of it, in one job."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
-    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), *more).first())
+    return tuple(df.agg(F.count(F.lit(1)), bytes_of(df), *more).first())
 
 
 def measured(dim: DataFrame, counts: str) -> tuple:
