@@ -3,7 +3,7 @@
 Records with the same camera or the same video belong together. The cameras of a video that has several are first linked
 in a star, so the graph has cameras as vertices only and no record's links are listed in full. In a round every vertex tosses a
 coin (a hash of vertex and round); a tail with a head as neighbour joins the least such head; edges are rewritten
-and deduplicated, until none is left. The rounds' moves are then unwound from the last to the first.
+and deduplicated, until none is left. The rounds' moves, a forest, are then unwound by pointer doubling.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.stages import drop_stage, measured, stage, with_dim
+from marlstone.stages import bytes_of, counted, drop_stage, stage, with_dim
 
 #: Rounds after which contraction gives up; each removes a quarter of the vertices with edges on average.
 MOST_ROUNDS = 200
@@ -25,36 +25,43 @@ def components(edges: DataFrame) -> DataFrame:
     Self-loops count as vertices without links; null ends are ignored. An empty table gives an empty one.
     """
     edges = edges.filter("a is not null and b is not null")
-    left = stage(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    left, (n,) = counted(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     vertices = stage(edges.select(F.explode(F.array("a", "b")).alias("v")).distinct())
-    moves = []
+    moves: list[DataFrame] = []
     for round_ in range(MOST_ROUNDS):
-        if left.isEmpty():
+        if not n:
             break
         head = lambda c, r=round_: F.pmod(F.xxhash64(c, F.lit(r)), F.lit(2)) == 1
         both = left.union(left.select("b", "a")).filter(~head("a"))
-        move = both.groupBy("a").agg(F.min(F.when(head("b"), F.col("b"))).alias("mate"), F.count("*").alias("edges"))
-        move = stage(move.filter("mate is not null"))
+        move = both.groupBy("a").agg(F.min(F.when(head("b"), F.col("b"))).alias("mate"), F.count("*").alias("edges")).filter("mate is not null")
+        move, sizes = counted(move, bytes_of(move), F.coalesce(F.sum("edges"), F.lit(0).cast("long")))
+        if not sizes[0]:
+            drop_stage(move)
+            continue
         moves.append(move)
         # a star's centre may stand in many edges: such keys are looked up without a shuffle
-        sizes = measured(move, "edges")
         side = lambda df, c, m=move, z=sizes: with_dim(df, m.select(F.col("a").alias(c), F.col("mate").alias(f"_{c}_to"), "edges"), c, "edges", sizes=z)
         new = side(side(left, "a"), "b")
         a, b = F.coalesce("_a_to", "a"), F.coalesce("_b_to", "b")
-        before, left = left, stage(new.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct())
+        before = left
+        left, (n,) = counted(new.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct())
         drop_stage(before)
     else:
-        raise RuntimeError(f"edges are left after {MOST_ROUNDS} rounds")
-    # a head never moves in its round, so it is enough to send each moved vertex where its mate ends up
-    ends = None
-    for move in reversed(moves):
-        if ends is None:
-            ends = move.select(F.col("a").alias("v"), F.col("mate").alias("root"))
-        else:
-            later = ends.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
-            ends = stage(ends.union(move.join(later, F.col("mate") == F.col("_v"), "left").select("a", F.coalesce("_root", "mate"))))
-    if ends is None:
+        if n:
+            raise RuntimeError(f"edges are left after {MOST_ROUNDS} rounds")
+    if not moves:
         return vertices.select("v", F.col("v").alias("root"))
+    # a vertex moves once, to one that may move in a later round: a forest, unwound by doubling the way that each jump goes
+    ends = moves[0].select(F.col("a").alias("v"), F.col("mate").alias("root"))
+    for move in moves[1:]:
+        ends = ends.union(move.select("a", "mate"))
+    ends, depth = stage(ends), len(moves)
+    drop_stage(*moves)
+    while depth > 1:
+        onward = ends.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
+        before, ends = ends, stage(ends.join(onward, F.col("root") == F.col("_v"), "left").select("v", F.coalesce("_root", "root").alias("root")))
+        drop_stage(before)
+        depth = -(-depth // 2)
     known = ends.select(F.col("v").alias("_v"), F.col("root").alias("_root"))
     return stage(vertices.join(known, F.col("v") == F.col("_v"), "left").select("v", F.coalesce("_root", "v").alias("root")))
 
