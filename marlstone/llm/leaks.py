@@ -212,7 +212,8 @@ def leaked_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", item
     # windows are short; from here on the work is spread evenly, whatever document or item they come from
     windows = stage(found.select("h", "_t", "cells").mapInArrow(_windows, out))
     words = items.mapInArrow(_word_rows, T.StructType([kind, T.StructField("item", T.StringType())])).groupBy("_i").agg(F.collect_set("item").alias("items"))
-    pairs = windows.repartition(F.xxhash64("h", "_i", "j0", "i0", "ilo")).join(words, "_i").select(*windows.columns, F.explode("items").alias("item"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = windows.repartition(tasks, F.xxhash64("h", "_i", "j0", "i0", "ilo")).join(words, "_i").select(*windows.columns, F.explode("items").alias("item"))
     leaks = pairs.mapInArrow(_verify, T.StructType([T.StructField("h", T.StringType()), kind]))
     leaks = stage(leaks.groupBy("h").agg(F.collect_set("_i").alias("found"), F.lit(1).alias("one")))
     all_ = with_dim(rows.filter("_t is not null").select("_k", "h"), leaks, "h", "one").filter("found is not null")
