@@ -142,7 +142,8 @@ def cross_split_overlaps(records: DataFrame, key: str, split: Column, camera: Co
     placed = placed.select("pos", "us", "kind", "at", "text", "split", "cam", "is_train", cell.alias("cell"), F.pmod(F.xxhash64("k", cell), F.lit(shards)).alias("shard"))
     # within a shard only the block, and for descriptions camera and slot, keep passages apart; the automaton does the rest
     placed = placed.withColumn("at", F.when(F.col("kind") == "near", F.concat_ws("#", "at", "cell")).otherwise(F.col("cell"))).drop("cell")
-    pairs = placed.groupBy("shard").applyInPandas(scan_shard, "kind string, train long, eval long, coverage double, spans array<struct<s:int,e:int>>, size int, split string, camera string")
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # shards are work, not bytes: they aren't to be merged into few tasks
+    pairs = placed.repartition(min(shards, tasks), "shard").groupBy("shard").applyInPandas(scan_shard, "kind string, train long, eval long, coverage double, spans array<struct<s:int,e:int>>, size int, split string, camera string")
     return pairs.groupBy("kind", "train", "eval").agg(F.max("coverage").alias("coverage"), F.max("spans").alias("spans"), F.max("size").alias("size"), F.min("split").alias("split"), F.min("camera").alias("camera"))
 
 
