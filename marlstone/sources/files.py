@@ -49,7 +49,7 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_json_map(spark: SparkSession, path: str, value: str = "double") -> DataFrame:
     """key, value of one JSON object in a whole document."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", f"map<string,{value}>", {"mode": "FAILFAST"})).alias("key", "value"))
 
 

@@ -32,7 +32,6 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="marlstone-")
-        atexit.register(shutil.rmtree, _OWN[app][len("file://") :], ignore_errors=True)
     return _OWN[app]
 
 
@@ -43,10 +42,19 @@ def stage(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._marlstone_stage = path
+    if not _PATHS:
+        atexit.register(_clear_at_exit)
     _PATHS[id(back)] = path
     return back
 
 
+def _clear_at_exit() -> None:
+    """Stages in a folder that this machine sees are deleted when the process ends; those elsewhere by clear_stages."""
+    for path in _PATHS.values():
+        if path.startswith(("file:", "/")):
+            shutil.rmtree(path.removeprefix("file:").replace("//", "/"), ignore_errors=True)
+
+
 def counted(df: DataFrame, *aggregates: Column) -> tuple[DataFrame, tuple]:
     """stage(df), and its number of rows and other ``aggregates``, taken while it is written: no job of their own."""
     seen = Observation()
