@@ -168,7 +168,9 @@ def leaked_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", item
     widens no other's window; each cell is extended by REACH words, which holds every passage around its hits.
     """
     rows = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).withColumn("h", F.md5("_t"))
-    items = items.select(F.col(item_key).alias("_i"), F.col(text).cast("string").alias("_s")).filter("_s is not null")
+    named = items.select(F.col(item_key).alias("_name"), F.md5(F.col(text).cast("string")).alias("_i"), F.col(text).cast("string").alias("_s")).filter("_s is not null")
+    # an item is its text: places in one text mean nothing in another of the same id
+    items, names = named.select("_i", "_s").dropDuplicates(["_i"]), named.select("_i", "_name").distinct()
     kind = items.schema["_i"]
 
     def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,11 +213,13 @@ def leaked_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", item
     out = T.StructType([T.StructField("h", T.StringType()), kind, *T.StructType.fromDDL("window string, j0 int, i0 int, j1 int, i1 int, ilo int, ihi int").fields])
     # windows are short; from here on the work is spread evenly, whatever document or item they come from
     windows = stage(found.select("h", "_t", "cells").mapInArrow(_windows, out))
-    words = items.mapInArrow(_word_rows, T.StructType([kind, T.StructField("item", T.StringType())])).groupBy("_i").agg(F.collect_set("item").alias("items"))
+    words = items.mapInArrow(_word_rows, T.StructType([kind, T.StructField("item", T.StringType())]))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = windows.repartition(tasks, F.xxhash64("h", "_i", "j0", "i0", "ilo")).join(words, "_i").select(*windows.columns, F.explode("items").alias("item"))
+    pairs = windows.repartition(tasks, F.xxhash64("h", "_i", "j0", "i0", "ilo")).join(words, "_i").select(*windows.columns, "item")
     leaks = pairs.mapInArrow(_verify, T.StructType([T.StructField("h", T.StringType()), kind]))
-    leaks = stage(leaks.groupBy("h").agg(F.collect_set("_i").alias("found"), F.lit(1).alias("one")))
+    leaks = leaks.distinct().join(names, "_i")
+    leaks = stage(leaks.groupBy("h").agg(F.collect_set("_name").alias("found"), F.count_if(F.col("_name").isNull()).alias("unnamed"), F.lit(1).alias("one")))
     all_ = with_dim(rows.filter("_t is not null").select("_k", "h"), leaks, "h", "one").filter("found is not null")
     drop_stage(prints, cells, windows)
-    return all_.select("_k", F.explode("found").alias("_i")).distinct().select(F.col("_k").alias(key), F.col("_i").alias(item_key))
+    every = F.concat("found", F.when(F.col("unnamed") > 0, F.array(F.lit(None))).otherwise(F.array()).cast(leaks.schema["found"].dataType))
+    return all_.select("_k", F.explode(every).alias("_i")).distinct().select(F.col("_k").alias(key), F.col("_i").alias(item_key))
