@@ -56,3 +56,16 @@ def test_figures_of_a_table_stay():
     table = "\n".join(",".join(str(7919 * (8 * i + j) % 100_003) for j in range(8)) for i in range(20))
     assert spam.words_of(table) == table.encode()
     assert spam.words_of("chime kit 44.40 EUR SKU-8132") == b"chime kit 0.0 EUR SKU-0"
+
+
+def test_null_blank_short_and_repeated_rows(spark):
+    rows = [(None, None, None), (1, "", "en"), (1, " \n", "en"), (2, "buy buy", "xx"), (3, "spam spam " * 200, None), (3, "spam spam " * 200, None), (4, "字" * 100 + "。", "zh")] + [(100 + i, _plain(i), "en") for i in range(35)]
+    df = spark.createDataFrame([(*r, i, "x") for i, r in enumerate(rows)], "doc_id long, text string, lang string, ratio int, is_spam string")
+    got = spam.spam_scores(df)
+    assert got.count() == len(rows) and [r.doc_id for r in got.filter("is_spam").collect()] == [3, 3]
+    assert spam.spam_scores(df.limit(0)).count() == 0 and {r.doc_id for r in spam.spam_pages(df, lang=None).collect()} == {3}
+
+
+def test_a_very_long_page(spark):
+    rows = [(i, _plain(i), "en") for i in range(35)] + [(99, "cheap cam kit " * 100_000, "en"), (98, " ".join(_plain(i) for i in range(300)), "en")]
+    assert _found(spark, rows) == {99}
