@@ -24,6 +24,8 @@ from marlstone.stages import stage
 
 #: Bytes of a block, bytes of the shortest text that is judged, different texts that a group's median needs.
 BLOCK, LEAST_BYTES, LEAST_GROUP = 2048, 200, 30
+#: Bins of length, two for each doubling: enough for any text.
+BINS = 128
 #: Usual ratio where the corpus holds no text in sentences at all.
 USUAL = 0.5
 #: A text is suspect if its relative ratio, as it is or without figures, is less than MOST_RELATIVE. It is spam if the ratio as it is and its share of sentences sum to less than SPAM_SCORE, and the share alone is less than MOST_SENTENCES.
@@ -78,7 +80,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             cjk = len(_CJK.findall(text)) > 0.3 * len(text)
             code = re.match(r"[a-z]{2}", (lang or "").strip().lower())
-            rows.append((block_ratio(data), block_ratio(words_of(text)), sentence_share(text), len(data), "zh" if cjk else code[0] if code else "", int(2 * math.log2(len(data)))))
+            ratio, words = block_ratio(data), words_of(text)
+            rows.append((ratio, ratio if words == data else block_ratio(words), sentence_share(text), len(data), "zh" if cjk else code[0] if code else "", int(2 * math.log2(len(data)))))
         cols = list(zip(*rows, strict=True)) or [()] * 6
         kinds = [pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.string(), pa.int32()]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["_k", "hash", "ratio", "words", "sentences", "n_bytes", "tongue", "bin"])
@@ -99,11 +102,10 @@ def spam_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     # a copy counts once, and a text that may be spam not at all, however many rows they hold
     plain = got.filter(F.col("sentences") >= MOST_SENTENCES).select("tongue", "bin", "hash", "ratio", "words")
     medians = F.struct(F.percentile_approx("ratio", 0.5).alias("ratio"), F.percentile_approx("words", 0.5).alias("words"))
-    # at most 676 two-letter codes and 128 bins, so both medians are broadcast
+    # at most 676 two-letter codes and BINS bins, so both medians are broadcast
     usual = plain.distinct().groupBy("tongue", "bin").agg(medians.alias("usual"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_GROUP).drop("n")
     by_length = plain.drop("tongue").distinct().groupBy(F.col("bin").alias("other")).agg(medians.alias("m"))
-    bins = got.filter(F.col("ratio").isNotNull()).select("bin").distinct()
-    pooled = bins.crossJoin(F.broadcast(by_length)).groupBy("bin").agg(F.min_by("m", F.struct(F.abs(F.col("bin") - F.col("other")), "other")).alias("pooled"))
+    pooled = by_length.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(BINS - 1)))).groupBy("bin").agg(F.min_by("m", F.struct(F.abs(F.col("bin") - F.col("other")), "other")).alias("pooled"))
     all_ = got.join(F.broadcast(usual), ["tongue", "bin"], "left").join(F.broadcast(pooled), "bin", "left")
     known = F.coalesce("usual", "pooled")
     relative, relative_words = (F.col(c) / F.greatest(F.coalesce(known[c], F.lit(USUAL)), F.lit(1e-6)) for c in ("ratio", "words"))
