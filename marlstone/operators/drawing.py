@@ -167,6 +167,11 @@ def latest(rows: DataFrame, name: str, n: int) -> DataFrame:
     return rows.withColumn("suffix", number).filter("suffix is not null").orderBy(F.desc("suffix"), F.desc(name)).limit(n)
 
 
+def micro_batches(rows: DataFrame, order: str, size: int) -> DataFrame:
+    """``rows`` with batch (from 0): ``size`` rows each in ``order``, as a service takes them."""
+    return numbered(rows, [order]).withColumn("batch", F.floor((F.col("number") - 1) / size)).drop("number")
+
+
 def align_up(n: int, multiple: int) -> int:
     """``n`` raised to a multiple."""
     return -(-n // multiple) * multiple

@@ -101,7 +101,19 @@ def kto_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("video_id", F.explode(F.array_compact(pair)).alias("x")).select("video_id", "x.completion", "x.label")
 
 
-QUERIES = {f.__name__: f for f in (consistency_gt, suspect_stats, consistency_double, split_assets, cross_examine, suspects, clean_drop, clean_report, breaker, kto_pairs)}
+def whitelisted(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled rows of videos on which the labeler agrees."""
+    white = consistency_gt(spark, sf).filter("bucket = 'white'")
+    return keyed.scoped(table(spark, sf, "labels").select("pos", "video_id"), white, "video_id")
+
+
+def kto_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Preference rows of videos that are labelled, with where their frames lie."""
+    last = golds(spark, sf).select("video_id", F.col("meta")["storage"].alias("storage"))
+    return kto_pairs(spark, sf).join(last, "video_id").select("video_id", "label", "storage")
+
+
+QUERIES = {f.__name__: f for f in (consistency_gt, suspect_stats, consistency_double, split_assets, cross_examine, suspects, clean_drop, clean_report, breaker, kto_pairs, whitelisted, kto_rows)}
 
 _LAB = "g0 AS MATERIALIZED (SELECT video_id, pos, gemini_output.predictions.role_type AS prt, gemini_output.predictions.sub_keyscene AS psk, gemini_output.attributes IS NOT NULL AS a, gemini_output.reasoning_chain AS chain FROM gemini_pass2), lab AS (SELECT * FROM g0 WHERE video_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY pos DESC) = 1)"
 _AGREE = f"{_LAB}, {GOLD}, ag AS (SELECT l.video_id, grt, gsk, prt IS NOT DISTINCT FROM grt AS rt_match, psk IS NOT DISTINCT FROM gsk AS sk_match FROM lab l JOIN gold g ON l.video_id = g.video_id), bk AS (SELECT *, CASE WHEN rt_match AND sk_match THEN 'white' WHEN rt_match OR sk_match THEN 'partial' ELSE 'discard' END AS bucket FROM ag)"
@@ -124,3 +136,5 @@ ORACLE = {
     "kto_pairs": f"""WITH {GOLD}, {LAST}, {strict('last')}, v AS (SELECT g.*, s.output, s.ok, s.r, s.k, grt || '|' || gsk || '|' || {strip("coalesce(gdesc, '')")} AS t FROM gold g LEFT JOIN strict s ON g.video_id = s.video_id WHERE g.video_id IS NOT NULL AND {_VALID.replace('labels.role_type', 'grt').replace('labels.sub_keyscene', 'gsk')})
 SELECT video_id, t AS completion, true AS label FROM v UNION ALL SELECT video_id, {strip('output')}, false FROM v WHERE output IS NOT NULL AND NOT (ok AND coalesce(r = grt AND k = gsk, false))""",
 }
+ORACLE["whitelisted"] = f"WITH {_AGREE} SELECT pos, video_id FROM labels WHERE video_id IN (SELECT video_id FROM bk WHERE bucket = 'white')"
+ORACLE["kto_rows"] = f"WITH {GOLD}, p AS ({ORACLE['kto_pairs']}) SELECT p.video_id, p.label, g.meta['storage'] AS storage FROM p JOIN gold g ON p.video_id = g.video_id"

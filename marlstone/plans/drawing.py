@@ -123,7 +123,17 @@ def latest_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return drawing.latest(table(spark, sf, "labels").select("video_id").distinct(), "video_id", 5).select("video_id", F.col("suffix").cast("string").alias("suffix"))
 
 
-QUERIES = {f.__name__: f for f in (group_split, quota_sample, audit_sample, audit_score, hard_weights, class_inflation, hard_weights_pattern, replicate, stratified_batches, epoch_order, rank_shares, spot_check, sample_rounds, latest_numbers)}
+def quota_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each stratum of the quota sample gave."""
+    return quota_sample(spark, sf).groupBy("stratum").agg(F.count("*").alias("n"))
+
+
+def micro_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Chains in lots of twenty."""
+    return drawing.micro_batches(table(spark, sf, "asset_c_reasoning").select("pos"), "pos", 20)
+
+
+QUERIES = {f.__name__: f for f in (group_split, quota_sample, audit_sample, audit_score, hard_weights, class_inflation, hard_weights_pattern, replicate, stratified_batches, epoch_order, rank_shares, spot_check, sample_rounds, latest_numbers, quota_stats, micro_batches)}
 
 _CAPS = " ".join(f"WHEN '{c}' THEN {SAFETY_CAPS.get(c, 0) + PAIR_CAPS.get(c, 0)}" for c in [*SAFETY_CAPS, *[c for c in PAIR_CAPS if c not in SAFETY_CAPS]])
 _AUDIT = f"""{GOLD}, {LAST}, pr AS (SELECT video_id, string_split(output, '|') AS s FROM last), au AS (SELECT g.video_id, grt, gsk, gdesc, {strip('s[1]')} AS prt, {strip('s[2]')} AS psk, {strip("array_to_string(s[3:], '|')")} AS pd FROM gold g JOIN pr ON g.video_id = pr.video_id WHERE len(s) >= 3),
@@ -142,6 +152,7 @@ wr AS (SELECT g.video_id, g.pos, g.gsk, pt.video_id IS NOT NULL AND NOT coalesce
 _CLASS = f"cl AS (SELECT gsk, count(*) AS n, count(*) FILTER (hard) AS hard, least({WEIGHT}::DOUBLE, 1.0::DOUBLE + {CAP - 1}::DOUBLE * count(*) / nullif(count(*) FILTER (hard), 0)) AS weight FROM wr GROUP BY gsk HAVING count(*) FILTER (hard) > 0), we AS (SELECT wr.*, CASE WHEN wr.hard THEN cl.weight ELSE 1.0 END::DOUBLE AS weight FROM wr LEFT JOIN cl ON wr.gsk IS NOT DISTINCT FROM cl.gsk)"
 _PAIRS = f"pairs AS ({_CURATION['kto_pairs']})"
 ORACLE = {
+    "micro_batches": "SELECT pos, (row_number() OVER (ORDER BY pos) - 1) // 20 AS batch FROM asset_c_reasoning",
     "group_split": f"""WITH r AS (SELECT pos, video_id, coalesce(coalesce(nullif(nullif(meta['camera_id'], ''), 'unknown'), video_id), '') AS g FROM labels), z AS (SELECT g, count(*) AS n, md5('split:' || g) AS h FROM r GROUP BY g),
 c AS (SELECT g, sum(n) OVER (ORDER BY h, g ROWS UNBOUNDED PRECEDING) - n < {VAL_SIZE} AS val FROM z), v AS (SELECT r.*, c.val FROM r JOIN c ON r.g = c.g)
 SELECT pos, CASE WHEN val THEN 'val' WHEN video_id IN (SELECT video_id FROM v WHERE val) THEN 'dropped' ELSE 'train' END AS side FROM v""",
@@ -167,3 +178,4 @@ b AS (SELECT video_id, h FROM s WHERE video_id NOT IN (SELECT video_id FROM a) O
     "sample_rounds": "SELECT e.e AS round, pos FROM labels, range(0, 3) e(e) QUALIFY row_number() OVER (PARTITION BY e.e ORDER BY md5('round:' || e.e || ':' || pos), pos) <= 20",
     "latest_numbers": r"WITH d AS (SELECT DISTINCT video_id, try_cast(nullif(regexp_extract(video_id, '([0-9]+)(?:\.[A-Za-z0-9]*)?$', 1), '') AS DECIMAL(38,0)) AS s FROM labels) SELECT video_id, s::VARCHAR AS suffix FROM d WHERE s IS NOT NULL ORDER BY s DESC, video_id DESC LIMIT 5",
 }
+ORACLE["quota_stats"] = f"SELECT stratum, count(*) AS n FROM ({ORACLE['quota_sample']}) GROUP BY stratum"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.operators.keyed import by_errors, remaining
@@ -89,3 +92,18 @@ def text_report(rows: DataFrame, most: int = 1_000) -> str:
     cells = [[str(c) for c in rows.columns], *[["-" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v) for v in r] for r in got]]
     width = [max(len(r[i]) for r in cells) for i in range(len(rows.columns))]
     return "\n".join("  ".join(v.rjust(w) for v, w in zip(r, width, strict=True)) for r in cells)
+
+
+def write_nothing(spark: SparkSession, schema: str, path: str) -> None:
+    """A table without rows that holds the place of an asset that isn't made yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def log_to(path: str, name: str = "marlstone") -> logging.Logger:
+    """A logger that writes to the console and to a file."""
+    log = logging.getLogger(name)
+    log.setLevel(logging.INFO)
+    if not any(isinstance(h, logging.FileHandler) and h.baseFilename == os.path.abspath(path) for h in log.handlers):
+        log.addHandler(logging.FileHandler(path, encoding="utf-8"))
+        log.addHandler(logging.StreamHandler())
+    return log
