@@ -83,16 +83,17 @@ def related_groups(records: DataFrame, key: str, camera: str, video: str) -> Dat
     cams = pairs.filter("cam is not null").groupBy("cam").agg(F.sum("n").alias("n"))
     cams = stage(cams.join(roots.withColumnRenamed("v", "cam"), "cam", "left").select("cam", "n", F.coalesce("root", "cam").alias("root")))
     lone = with_dim(pairs.filter("cam is null and vid is not null").select("vid", "n"), several.select("vid", "least", "places"), "vid", "places")
-    lone = stage(with_dim(lone.withColumnRenamed("least", "cam"), cams, "cam", "n").select("vid", "n", "root"))
+    known = stage(with_dim(lone.withColumnRenamed("least", "cam"), cams, "cam", "n").select("vid", "n", "root"))
     # a place of rows: their camera, or their video; its group: the component of cameras, or the video alone
     placed = cams.select(F.concat(F.lit("c"), "cam").alias("at"), "n", F.concat(F.lit("c"), "root").alias("g"), "cam")
+    lone = known.filter("root is not null or n > 1")  # a video of one row and no camera is a group of its own, as rows without an entry are
     placed = stage(placed.union(lone.select(F.concat(F.lit("v"), "vid"), "n", F.coalesce(F.concat(F.lit("c"), "root"), F.concat(F.lit("v"), "vid")), F.lit(None))))
     groups = stage(placed.groupBy("g").agg(F.coalesce(F.min("cam"), F.min(F.expr("substring(g, 2)"))).alias("group_id"), F.sum("n").alias("size"), F.count("*").alias("places")))
-    dim = stage(with_dim(placed.select("at", "n", "g"), groups, "g", "places").select("at", "group_id", "size", "n"))
-    drop_stage(pairs, several, cams, lone, placed, groups)
+    dim = stage(with_dim(placed.select("at", "n", "g"), groups, "g", "places").filter("size > 1").select("at", "group_id", "size", "n"))
+    drop_stage(pairs, several, cams, known, placed, groups)
     at = F.coalesce(F.concat(F.lit("c"), "cam"), F.concat(F.lit("v"), "vid"))
     out = with_dim(rows.select("_k", at.alias("at")), dim, "at", "n")
-    return out.select(F.col("_k").alias(key), "group_id", F.coalesce("size", F.lit(1)).alias("n"))
+    return out.select(F.col("_k").alias(key), F.coalesce("group_id", F.expr("substring(at, 2)")).alias("group_id"), F.coalesce("size", F.lit(1)).alias("n"))
 
 
 def group_splits(groups: DataFrame, group: str, size: str, shares: dict[str, float], seed: int = 7) -> DataFrame:
