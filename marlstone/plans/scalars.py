@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone import vocab
@@ -105,18 +105,22 @@ def cot_target(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("pos", "t.text", F.col("t.spans")[0]["end"].cast("long").alias("prefix_end"), F.col("t.spans")[1]["end"].cast("long").alias("letters_end"))
 
 
-def _ints(c) -> F.Column:
+def _ints(c: Column) -> Column:
     return F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), ",")
 
 
 def token_weights(spark: SparkSession, sf: str) -> DataFrame:
     """Weights of tokens of three characters over each target, by its spans and by the rule of its prefix."""
-    rows = table(spark, sf, "labels").select("pos", outputs.target(F.col(RT), F.col(SK), F.col(DESC)).alias("t")).filter("t is not null")
-    n = F.length("t.text")
-    starts = F.sequence(F.lit(0), n - 1, F.lit(3))
-    tokens = F.transform(starts, lambda s: F.struct(s.alias("start"), F.least(s + 3, n).alias("end")))
-    sizes = F.transform(starts, lambda s: F.least(F.lit(3), n - s))
-    return rows.select("pos", _ints(outputs.token_weights(F.col("t.spans"), tokens)).alias("by_span"), _ints(outputs.prefix_weights(sizes, 4)).alias("by_prefix"))
+
+    def weights(t: Column, n: Column) -> Column:
+        starts = F.sequence(F.lit(0), n - 1, F.lit(3))
+        tokens = F.transform(starts, lambda s: F.struct(s.alias("start"), F.least(s + 3, n).alias("end")))
+        sizes = F.transform(starts, lambda s: F.least(F.lit(3), n - s))
+        return F.struct(_ints(outputs.token_weights(t["spans"], tokens)).alias("by_span"), _ints(outputs.prefix_weights(sizes, 4)).alias("by_prefix"))
+
+    # bound, or the optimizer would build the target again for each token
+    rows = table(spark, sf, "labels").filter(outputs.is_role(F.col(RT)) & outputs.is_scene(F.col(SK)))
+    return rows.select("pos", arrays.bound(outputs.target(F.col(RT), F.col(SK), F.col(DESC)), lambda t: arrays.bound(F.length(t["text"]), lambda n: weights(t, n))).alias("w")).select("pos", "w.*")
 
 
 def char_ratio(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,7 +196,7 @@ def uniform_indices(spark: SparkSession, sf: str) -> DataFrame:
     return _clips(spark, sf).select("pos", _ints(arrays.uniform_indices(F.col("n"), FRAMES)).alias("frames"))
 
 
-def _dropped(p: float) -> F.Column:
+def _dropped(p: float) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(FRAMES - 1)), lambda i: arrays.hash_below(F.concat_ws(":", F.col("pos").cast("string"), i.cast("string")), p))
 
 
@@ -205,10 +209,14 @@ def ffill_dropout(spark: SparkSession, sf: str) -> DataFrame:
 def augmented_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Frames of a window of half to nine tenths of the clip, evenly, some dropped; in ascending order or an error."""
     part = lambda name: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(name), F.col("pos").cast("string"))), 1, 7), 16, 10).cast("double") / float(1 << 28)
-    rows = _clips(spark, sf).withColumn("w", arrays.crop(F.col("n"), 0.5 + 0.4 * part("ratio"), part("place")))
-    even = F.transform(arrays.uniform_indices(F.col("w.end") - F.col("w.start"), FRAMES), lambda i: i + F.col("w.start"))
-    rows = rows.select("pos", "n", "w", arrays.checked_ascending(arrays.held(even, _dropped(0.1))).alias("frames"))
-    return rows.select("pos", F.col("w.start").cast("long").alias("start_at"), F.col("w.end").cast("long").alias("end_at"), _ints("frames").alias("frames"))
+
+    def plan(w: Column) -> Column:
+        even = F.transform(arrays.uniform_indices(w["end"] - w["start"], FRAMES), lambda i: i + w["start"])
+        frames = arrays.bound(arrays.held(even, _dropped(0.1)), arrays.checked_ascending)
+        return F.struct(w["start"].cast("long").alias("start_at"), w["end"].cast("long").alias("end_at"), _ints(frames).alias("frames"))
+
+    rows = _clips(spark, sf).select("pos", arrays.bound(arrays.crop(F.col("n"), 0.5 + 0.4 * part("ratio"), part("place")), plan).alias("p"))
+    return rows.select("pos", "p.*")
 
 
 def islands(spark: SparkSession, sf: str) -> DataFrame:
