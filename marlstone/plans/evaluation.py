@@ -56,8 +56,10 @@ def evaluated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf: str) -> DataFrame:
-    axes = {"rt": (F.col("grt"), F.coalesce("p.rt", F.lit("?"))), "sk": (F.col("gsk"), F.coalesce("p.sk", F.lit("?")))}
-    return scoring.with_groups(scoring.confusions(evaluated(spark, sf), axes))
+    """Confusions on all axes in one pass; letters without a group are ? there, so an unknown label that failed to parse counts as right."""
+    rt, sk = F.coalesce("p.rt", F.lit("?")), F.coalesce("p.sk", F.lit("?"))
+    axes = {"rt": (F.col("grt"), rt), "sk": (F.col("gsk"), sk), "ks": (outputs.group_of(F.col("gsk"), "?"), outputs.group_of(sk, "?"))}
+    return scoring.confusions(evaluated(spark, sf), axes)
 
 
 def prf_per_class(spark: SparkSession, sf: str) -> DataFrame:
